@@ -35,9 +35,15 @@ def to_rows(one_row: DataFrame, structs: list[Column]) -> DataFrame:
     return one_row.select(F.explode(F.array(*structs)).alias("_r")).select("_r.*")
 
 
-def null_counts(df: DataFrame) -> DataFrame:
-    """(column, nulls) for every column, in one pass."""
-    one = df.agg(*[count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns])
+def null_counts(df: DataFrame, blanks: bool = False) -> DataFrame:
+    """(column, nulls) for every column, in one pass; with `blanks`, empty text counts too."""
+    text = {c for c, kind in df.dtypes if blanks and kind == "string"}
+    one = df.agg(
+        *[
+            count_if(~not_blank(F.col(f"`{c}`")) if c in text else F.col(f"`{c}`").isNull()).alias(c)
+            for c in df.columns
+        ]
+    )
     return one.unpivot([], list(df.columns), "column", "nulls")
 
 

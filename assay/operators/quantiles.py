@@ -20,44 +20,62 @@ def _ranks(prob: float, n: Column, discrete: bool) -> list[Column]:
     return [F.floor(place).cast("long"), F.ceil(place).cast("long")]
 
 
-def _hits(rows: DataFrame, cells: DataFrame, by: list[str]) -> DataFrame:
-    """Rows that fall into a cell still in question, once per such cell."""
-    inside = F.filter("_cells", lambda c: F.col("_x").between(c["lo"], c["hi"]))
-    return attach(rows, cells, by).select(*by, "_n", "_x", F.explode(inside).alias("_cell"))
+def _in_cells(rows: DataFrame, cells: DataFrame, by: list[str], width: int) -> tuple[DataFrame, list]:
+    """Rows that fall into a cell still in question, with its number, and the cells' edges.
 
-
-def _upto(by: list[str], order: str) -> Column:
-    window = Window.partitionBy(*by, "_cell").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return F.col("_cell.below") + F.sum("_count").over(window)
-
-
-def _ranks_here() -> Column:
-    return F.filter(
-        "_cell.ranks", lambda r: (r >= F.col("_upto") - F.col("_count")) & (r < F.col("_upto"))
+    Cells of a group do not overlap, so a row belongs to one at most. Edges come as plain columns,
+    which keeps the pass over all rows inside generated code.
+    """
+    edges = [(F.col(f"_lo{i}"), F.col(f"_hi{i}")) for i in range(width)]
+    flat = cells.select(
+        *by,
+        *[
+            F.try_element_at("_cells", F.lit(i + 1))[end].alias(f"_{end}{i}")
+            for i in range(width)
+            for end in ("lo", "hi")
+        ],
+    )
+    number = F.coalesce(*[F.when(F.col("_x").between(lo, hi), i) for i, (lo, hi) in enumerate(edges)])
+    inside = attach(rows, flat, by).withColumn("_no", number)
+    return inside.where(F.col("_no").isNotNull()), edges
+
+
+def _running(counts: DataFrame, cells: DataFrame, by: list[str], order: str) -> DataFrame:
+    """Give each count its cell and the rank range [_from, _upto) that it covers."""
+    window = Window.partitionBy(*by, "_no").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    cell = F.element_at("_cells", F.col("_no") + 1)
+    placed = counts.withColumn("_run", F.sum("_count").over(window))
+    return (
+        attach(placed, cells, by)
+        .withColumns({"_upto": cell["below"] + F.col("_run"), "_ranks": cell["ranks"]})
+        .withColumn("_from", F.col("_upto") - F.col("_count"))
+        .withColumn(
+            "_ranks", F.filter("_ranks", lambda r: (r >= F.col("_from")) & (r < F.col("_upto")))
+        )
+        .where(F.size("_ranks") > 0)
     )
 
 
-def _narrow(rows: DataFrame, cells: DataFrame, by: list[str], bins: int) -> DataFrame:
+def _narrow(rows: DataFrame, cells: DataFrame, by: list[str], width: int, bins: int) -> DataFrame:
     """Cut each cell into equal-width bins and keep the bins that hold a wanted rank."""
-    low, high, x = F.col("_cell.lo"), F.col("_cell.hi"), F.col("_x")
-    share = F.nanvl(F.try_divide(x - low, high - low), F.lit(0.5))
-    place = F.when(x <= low, F.lit(0)).when(x >= high, F.lit(bins - 1)).otherwise(
-        F.least(F.floor(share * bins).cast("int"), F.lit(bins - 1))
+    inside, edges = _in_cells(rows, cells, by, width)
+    x = F.col("_x")
+
+    def place(lo: Column, hi: Column) -> Column:
+        share = F.nanvl((x - lo) / (hi - lo), F.lit(0.5))
+        cut = F.least(F.floor(share * bins).cast("int"), F.lit(bins - 1))
+        return F.when(x <= lo, F.lit(0)).when(x >= hi, F.lit(bins - 1)).otherwise(cut)
+
+    bin_number = F.coalesce(
+        *[F.when(F.col("_no") == i, place(lo, hi)) for i, (lo, hi) in enumerate(edges)]
     )
-    counts = (
-        _hits(rows, cells, by)
-        .groupBy(*by, "_n", "_cell", place.alias("_bin"))
-        .agg(F.count("*").alias("_count"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-        .withColumn("_upto", _upto(by, "_bin"))
+    counts = inside.groupBy(*by, "_no", bin_number.alias("_bin")).agg(
+        F.count("*").alias("_count"), F.min("_x").alias("lo"), F.max("_x").alias("hi")
     )
     cell = F.struct(
-        F.col("_lo").alias("lo"),
-        F.col("_hi").alias("hi"),
-        (F.col("_upto") - F.col("_count")).alias("below"),
-        F.col("_count").alias("size"),
-        _ranks_here().alias("ranks"),
+        "lo", "hi", F.col("_from").alias("below"), F.col("_count").alias("size"), F.col("_ranks").alias("ranks")
     )
-    kept = counts.select(*by, "_n", cell.alias("_cell")).where(F.size("_cell.ranks") > 0)
+    kept = _running(counts, cells, by, "_bin").select(*by, "_n", cell.alias("_cell"))
     return kept.groupBy(*by, "_n").agg(F.collect_list("_cell").alias("_cells"))
 
 
@@ -95,18 +113,20 @@ def exact_quantiles(
         F.array_distinct(wanted).alias("ranks"),
     )
     cells = span.where(F.col("_n") > 0).select(*by, "_n", F.array(whole).alias("_cells"))
-    cells = settle(cells, "cells")
-    while not cells.where(
-        F.exists("_cells", lambda c: (c["size"] > leaf_rows) & (c["lo"] < c["hi"]))
-    ).isEmpty():
-        cells = settle(_narrow(rows, cells, by, bins), "cells")
-
+    while True:
+        cells = settle(cells, "cells")
+        large = F.exists("_cells", lambda c: (c["size"] > leaf_rows) & (c["lo"] < c["hi"]))
+        state = cells.agg(F.max(F.size("_cells")).alias("width"), F.max(large).alias("large")).head()
+        width = state["width"] or 1
+        if not state["large"]:
+            break
+        cells = _narrow(rows, cells, by, width, bins)
+
+    inside, _ = _in_cells(rows, cells, by, width)
+    counts = inside.groupBy(*by, "_no", "_x").agg(F.count("*").alias("_count"))
     found = (
-        _hits(rows, cells, by)
-        .groupBy(*by, "_n", "_cell", "_x")
-        .agg(F.count("*").alias("_count"))
-        .withColumn("_upto", _upto(by, "_x"))
-        .select(*by, "_n", "_x", F.explode(_ranks_here()).alias("_rank"))
+        _running(counts, cells, by, "_x")
+        .select(*by, "_n", "_x", F.explode("_ranks").alias("_rank"))
         .groupBy(*by, "_n")
         .agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_x"))).alias("_at"))
     )

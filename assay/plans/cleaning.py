@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from assay.functions.dates import month_part, month_to_date, parse_date, remaining_term, year_part
 from assay.functions.text import range_midpoint, replace_values, trim_upper, years_months
-from assay.operators.aggregates import profile
+from assay.operators.aggregates import null_counts
 from assay.operators.columns import drop_blank, remove_flagged, whitelist, range_filter
 from assay.operators.outliers import flag_iqr, flag_zscore
 from assay.operators.sets import dedupe_rows
@@ -82,11 +82,11 @@ STEPS: dict[str, Callable[..., DataFrame]] = {
 
 
 def derive_config(df: DataFrame, keep_nulls=("remaining_lease", "flat_model"), **overrides) -> CleaningConfig:
-    """Configuration by rule from a one-pass profile: rows with nulls go, except in `keep_nulls`.
+    """Configuration by rule: rows with null or blank values go, except in `keep_nulls`.
 
-    The profile is one row per column, so little comes to the driver.
+    One pass over the table; one row per column comes to the driver.
     """
-    rows = profile(df).select("column", "nulls").collect()
+    rows = null_counts(df, blanks=True).collect()
     with_nulls = tuple(r["column"] for r in rows if r["nulls"] and r["column"] not in keep_nulls)
     return CleaningConfig(**{"drop_nulls": with_nulls, **overrides})
 

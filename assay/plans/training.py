@@ -16,6 +16,7 @@ from pyspark.ml.feature import (
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from assay.functions.text import bin_by
@@ -178,8 +179,6 @@ def importances(model: Model, columns, like: DataFrame) -> DataFrame:
 
 def rank_models(metrics: DataFrame) -> DataFrame:
     """Models by RMSE, best first, with their rank. One row per model, so the window is small."""
-    from pyspark.sql import Window
-
     window = Window.partitionBy(F.lit(0)).orderBy("rmse", "model")
     return metrics.withColumn("place", F.row_number().over(window)).orderBy("place")
 
@@ -208,7 +207,7 @@ class Vectors:
 def vectorise(train: DataFrame, test: DataFrame, key: str, label: str, keep=()) -> Vectors:
     """Encode on the training rows only, multiply indices, drop collinear columns, assemble.
 
-    Both sets are written once, because cross-validation reads them many times.
+    Both sets are spread evenly by row key and written once, because training reads them many times.
     """
     train, test = prepare(train), prepare(test)
     categories = [c for c in CATEGORICALS if c in train.columns]
@@ -221,8 +220,8 @@ def vectorise(train: DataFrame, test: DataFrame, key: str, label: str, keep=())
     inputs = [c for c in [*NUMERIC_INPUTS, *[f"{c}_index" for c in categories]] if c in train.columns]
     columns = list(dict.fromkeys([key, "features", label, *keep]))
     return Vectors(
-        settle(assemble(train, inputs).select(*columns), "train"),
-        settle(assemble(test, inputs).select(*columns), "test"),
+        settle(assemble(train, inputs).select(*columns).repartition(key), "train"),
+        settle(assemble(test, inputs).select(*columns).repartition(key), "test"),
         inputs,
     )
 

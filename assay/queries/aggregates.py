@@ -10,6 +10,7 @@ from assay.operators.ordering import bounds
 from assay.operators.quantiles import exact_quantiles, group_median
 from assay.plans.checks import ColumnRules, violations
 from assay.queries.registry import query, r6
+from assay.session import attach
 
 NUMBERS = ["resale_price", "floor_area_sqm", "remaining_lease_years", "storey_midpoint", "transaction_year"]
 RESIDUALS = """res as (select txn_id, town, flat_type, month, resale_price, prediction, resale_price - prediction as residual,
@@ -68,9 +69,20 @@ def profile_table(t):
     return A.profile(t.role("txn").select(*PROFILED), approx=False)
 
 
-@query("approx_distinct")
+SKETCHED = ["txn_id", "block", "street_name", "town", "resale_price"]
+
+
+@query(
+    "approx_distinct",
+    " union all ".join(f"""select '{c}' as "column", count(distinct {c}) as exact, true as close from txn""" for c in SKETCHED),
+    "txn",
+)
 def approx_distinct(t):
-    return A.approx_distinct(t.role("txn"), ["txn_id", "block", "street_name", "town", "resale_price"])
+    """Sketched counts beside exact ones, and whether they lie within 10 percent."""
+    exact = A.distinct_counts(t.role("txn"), SKETCHED).withColumnRenamed("n_distinct", "exact")
+    both = A.approx_distinct(t.role("txn"), SKETCHED, 0.02).join(exact, "column")
+    close = F.abs(F.col("n_distinct") - F.col("exact")) <= F.col("exact") * 0.1
+    return both.select("column", "exact", close.alias("close"))
 
 
 @query(
@@ -305,8 +317,6 @@ def category_counts(t):
     "deals",
 )
 def value_counts(t):
-    from assay.session import attach
-
     stats = A.quality_stats(t.role("deals"), "town", "transaction_year").drop("n_rows", "n_null_key")
     return attach(A.value_counts(t.role("deals"), "flat_model"), stats)
 

@@ -12,6 +12,7 @@ from assay.plans.features import DISTANCE_FEATURES, FeatureConfig, Interaction,
 from assay.queries.columns import PRICE_SCHEMA
 from assay.queries.lookups import GROWN, PAIRS
 from assay.queries.registry import query, r6
+from assay.session import settle
 
 KEYED_SCHEMA = T.StructType([T.StructField("txn_id", T.LongType()), *PRICE_SCHEMA.fields])
 
@@ -30,7 +31,8 @@ CLEAN = """typed as (select txn_id, try_cast(concat(month, '-01') as date) as mo
 
 
 def cleaned(t, threshold=0.4):
-    raw = align_schema(t.role("txn"), KEYED_SCHEMA, "all")
+    # Text is typed and written once; profiling, quartiles and cleaning then read columns of that.
+    raw = settle(align_schema(t.role("txn"), KEYED_SCHEMA, "all"), "typed")
     config = derive_config(raw, outlier_threshold=threshold)
     rows, _ = config_clean(raw, config)
     return finish(rows)

@@ -132,12 +132,10 @@ SMALL = {
 
 
 def _fitted(t, name):
+    """Test rows scored by one fit with the first value of each grid entry."""
     vectors = _vectors(t)
-    model = M.spec(name, grid={}).estimator.copy()
-    regressor = M.spec(name, grid={}).regressor
-    for parameter, values in SMALL[name].items():
-        regressor._set(**{parameter: values[0]})
-    scored = regressor.fit(vectors.train).transform(vectors.test)
+    model = M.spec(name, grid={p: v[:1] for p, v in SMALL[name].items()})
+    scored = model.estimator.fit(vectors.train, model.param_maps()[0]).transform(vectors.test)
     return scored.select("txn_id", "resale_price", "prediction")
 
 

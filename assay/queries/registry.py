@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assay.queries.roles import ROLES, TABLES
+from assay.queries.roles import TABLES, spark_text, sql_text
 
 REGISTRY: dict[str, tuple[Callable, str | None]] = {}
 
@@ -23,13 +23,13 @@ class Inputs:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def role(self, name: str) -> DataFrame:
-        tables = {t: self.table(t) for t in TABLES if "{" + t + "}" in ROLES[name]}
-        return self.spark.sql(ROLES[name], **tables)
+        text = spark_text(name)
+        return self.spark.sql(text, **{t: self.table(t) for t in TABLES if "{" + t + "}" in text})
 
 
 def oracle(body: str, *roles: str) -> str:
     """SQL over the plain tables, with the named role views in front."""
-    views = ", ".join(f"{r} as ({ROLES[r].format(**{t: t for t in TABLES})})" for r in roles)
+    views = ", ".join(f"{r} as ({sql_text(r)})" for r in roles)
     if not views:
         return body
     body = body.strip()

@@ -3,6 +3,8 @@
 The same text runs in Spark and as SQL, with table names filled in. It puts dirt in on purpose.
 """
 
+import re
+
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -86,19 +88,29 @@ select concat(cast(c_custkey % 900 + 1 as string), ' street ', cast(c_custkey %
 from {customer} where c_custkey % 900 % 10 <> 3
 """
 
-# Search results per entity: two terms with up to three results each.
+# Search results per entity: two terms with up to three results each. EACH(...) stands for one row
+# per listed value, which the engines spell differently.
 CANDS = """
-select c_name as entity, term_no, position,
- case when (c_custkey + term_no + position) % 5 = 0 then concat('block of ', lower(c_name))
-      when (c_custkey + position) % 3 = 0 then 'north primary school' else 'plain tower' end as building,
- case when (c_custkey * 7 + position) % 11 = 0 then 'city college annex' else null end as search_value,
- case when (c_custkey + position) % 13 = 0 then 'nil' else cast(cast(1.22e0 + ((c_custkey + 17 * position + 5 * term_no) % 1000) * 0.0002e0 as decimal(9,6)) as string) end as latitude,
- cast(cast(103.6e0 + ((c_custkey + 31 * position + 3 * term_no) % 1000) * 0.0004e0 as decimal(9,6)) as string) as longitude
-from {customer}, (select 0 as term_no union all select 1 as term_no) terms,
- (select 0 as position union all select 1 as position union all select 2 as position) places
-where c_custkey % 7 <> 0 and not (c_custkey % 4 = 1 and term_no = 0)
+select entity, term_no, position,
+ case when (id + term_no + position) % 5 = 0 then concat('block of ', lower(entity))
+      when (id + position) % 3 = 0 then 'north primary school' else 'plain tower' end as building,
+ case when (id * 7 + position) % 11 = 0 then 'city college annex' else null end as search_value,
+ case when (id + position) % 13 = 0 then 'nil' else cast(cast(1.22e0 + ((id + 17 * position + 5 * term_no) % 1000) * 0.0002e0 as decimal(9,6)) as string) end as latitude,
+ cast(cast(103.6e0 + ((id + 31 * position + 3 * term_no) % 1000) * 0.0004e0 as decimal(9,6)) as string) as longitude
+from (select id, entity, term_no, EACH(0, 1, 2) as position
+ from (select c_custkey as id, c_name as entity, EACH(0, 1) as term_no from {customer} where c_custkey % 7 <> 0) terms
+ where not (id % 4 = 1 and term_no = 0)) results
 """
 
 ROLES = {
     "txn": TXN, "deals": DEALS, "amen": AMEN, "qindex": QINDEX, "demo": DEMO, "cache": CACHE, "cands": CANDS,
 }
+
+
+def spark_text(role: str) -> str:
+    return re.sub(r"EACH\(([^)]*)\)", r"explode(array(\1))", ROLES[role])
+
+
+def sql_text(role: str) -> str:
+    text = re.sub(r"EACH\(([^)]*)\)", r"unnest([\1])", ROLES[role])
+    return text.format(**{t: t for t in TABLES})

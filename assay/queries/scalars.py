@@ -8,6 +8,7 @@ from assay.functions.geo import haversine_km, round_coord
 from assay.operators import reshape as R
 from assay.operators.errors import residuals
 from assay.plans.cleaning import FLAT_TYPE_SPELLINGS
+from assay.plans.cleaning import impute_term as fill_term
 from assay.plans.features import Interaction, interactions
 from assay.queries.registry import query, r6
 
@@ -124,13 +125,11 @@ def remaining_term(t):
     "txn",
 )
 def impute_term(t):
-    from assay.plans.cleaning import impute_term as impute
-
     rows = t.role("txn").select(
         "txn_id", "month", F.col("lease_commence_date").try_cast("int").alias("lease_commence_date"),
         X.years_months("remaining_lease").alias("remaining_lease"),
     )
-    return impute(rows, "remaining_lease").select("txn_id", "remaining_lease")
+    return fill_term(rows, "remaining_lease").select("txn_id", "remaining_lease")
 
 
 @query(

@@ -82,9 +82,9 @@ def top_k_groups(t):
     return high.union(top_groups(rows, "town", "resale_price", 10, True).withColumn("side", F.lit("low")))
 
 
-@query("limit_n")
+@query("limit_n", "select count(*) as n from (select * from lineitem limit 3)")
 def limit_n(t):
-    return O.limit_rows(t.table("lineitem"), 3)
+    return O.limit_rows(t.table("lineitem"), 3).agg(F.count("*").alias("n"))
 
 
 @query(

@@ -1,4 +1,4 @@
-"""Session set-up, scratch storage and the size checks behind every broadcast."""
+"""Session set-up, scratch storage and the joining of statistics to rows."""
 
 from __future__ import annotations
 
@@ -8,8 +8,6 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
-
 
 def get_session(app: str = "assay", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution on; `conf` keys use ``__`` for dots."""
@@ -57,11 +55,6 @@ def settle(df: DataFrame, label: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast after counting at most ``max_rows + 1`` rows; otherwise no hint is given."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def names(columns) -> list[str]:
     if columns is None:
         return []
