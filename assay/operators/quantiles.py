@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -10,6 +13,7 @@ from assay.session import attach, names, settle
 
 LEAF_ROWS = 1_000_000
 BINS = 4096
+TINY = 1e-300
 
 
 def _ranks(prob: float, n: Column, discrete: bool) -> list[Column]:
@@ -56,13 +60,21 @@ def _running(counts: DataFrame, cells: DataFrame, by: list[str], order: str) ->
     )
 
 
-def _narrow(rows: DataFrame, cells: DataFrame, by: list[str], width: int, bins: int) -> DataFrame:
+def _log_scale(x: Column) -> Column:
+    """Logarithm of the size with the sign kept: rises with x, also through zero."""
+    return F.signum(x) * (F.log(F.greatest(F.abs(x), F.lit(TINY))) - F.lit(math.log(TINY)))
+
+
+def _narrow(
+    rows: DataFrame, cells: DataFrame, by: list[str], width: int, bins: int, log_scale: bool
+) -> DataFrame:
     """Cut each cell into equal-width bins and keep the bins that hold a wanted rank."""
     inside, edges = _in_cells(rows, cells, by, width)
-    x = F.col("_x")
+    x, scale = F.col("_x"), _log_scale if log_scale else (lambda c: c)
 
     def place(lo: Column, hi: Column) -> Column:
-        share = F.nanvl((x - lo) / (hi - lo), F.lit(0.5))
+        share = F.try_divide(scale(x) - scale(lo), scale(hi) - scale(lo))
+        share = F.nanvl(F.coalesce(share, F.lit(0.5)), F.lit(0.5))
         cut = F.least(F.floor(share * bins).cast("int"), F.lit(bins - 1))
         return F.when(x <= lo, F.lit(0)).when(x >= hi, F.lit(bins - 1)).otherwise(cut)
 
@@ -92,7 +104,8 @@ def exact_quantiles(
 
     The range that holds a wanted rank is cut into bins by counting, again and again, until each
     range holds few rows or one value. Every round reads the one column and shuffles only bin
-    counts; no task ever holds a group. Ranges of a round go through a small written table, which
+    counts; no task ever holds a group. Bins are even and logarithmic by turns, so a few rounds
+    suffice also when values differ by many orders of size. Ranges of a round go through a small written table, which
     the planner broadcasts by its real size. Nulls and NaN do not count.
 
     `discrete` gives the least value whose rank share reaches p, otherwise values are interpolated.
@@ -113,14 +126,14 @@ def exact_quantiles(
         F.array_distinct(wanted).alias("ranks"),
     )
     cells = span.where(F.col("_n") > 0).select(*by, "_n", F.array(whole).alias("_cells"))
-    while True:
+    for step in count():
         cells = settle(cells, "cells")
         large = F.exists("_cells", lambda c: (c["size"] > leaf_rows) & (c["lo"] < c["hi"]))
         state = cells.agg(F.max(F.size("_cells")).alias("width"), F.max(large).alias("large")).head()
         width = state["width"] or 1
         if not state["large"]:
             break
-        cells = _narrow(rows, cells, by, width, bins)
+        cells = _narrow(rows, cells, by, width, bins, log_scale=step % 2 == 1)
 
     inside, _ = _in_cells(rows, cells, by, width)
     counts = inside.groupBy(*by, "_no", "_x").agg(F.count("*").alias("_count"))
