@@ -1,29 +1,15 @@
 """Queries of projection, alignment, filters and null handling."""
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from assay.functions.dates import year_part
 from assay.functions.text import guarded_cast
 from assay.operators import columns as C
 from assay.plans.cleaning import FLAT_TYPES, waterfall
+from assay.plans.extracts import TRANSACTION_SCHEMA as PRICE_SCHEMA
 from assay.queries.registry import query, r6
 from assay.session import attach
 
-PRICE_SCHEMA = T.StructType(
-    [
-        T.StructField(name, kind)
-        for name, kind in [
-            ("month", T.StringType()), ("town", T.StringType()), ("flat_type", T.StringType()),
-            ("block", T.StringType()), ("street_name", T.StringType()), ("storey_range", T.StringType()),
-            ("floor_area_sqm", T.DoubleType()), ("flat_model", T.StringType()),
-            ("lease_commence_date", T.IntegerType()), ("remaining_lease", T.StringType()),
-            ("resale_price", T.DoubleType()),
-        ]
-    ]
-)
-
-
 @query("normalise_names", "select txn_id, flat_type, storey_range from txn", "txn")
 def normalise_names(t):
     rows = t.role("txn")
