@@ -13,6 +13,7 @@ from assay.session import attach, names, settle
 
 LEAF_ROWS = 1_000_000
 BINS = 4096
+MANY_LEAVES = 100
 TINY = 1e-300
 
 
@@ -30,16 +31,16 @@ def _in_cells(rows: DataFrame, cells: DataFrame, by: list[str], width: int) -> t
     Cells of a group do not overlap, so a row belongs to one at most. Edges come as plain columns,
     which keeps the pass over all rows inside generated code.
     """
-    edges = [(F.col(f"_lo{i}"), F.col(f"_hi{i}")) for i in range(width)]
+    edges = [(F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_size{i}")) for i in range(width)]
     flat = cells.select(
         *by,
         *[
-            F.try_element_at("_cells", F.lit(i + 1))[end].alias(f"_{end}{i}")
+            F.try_element_at("_cells", F.lit(i + 1))[part].alias(f"_{part}{i}")
             for i in range(width)
-            for end in ("lo", "hi")
+            for part in ("lo", "hi", "size")
         ],
     )
-    number = F.coalesce(*[F.when(F.col("_x").between(lo, hi), i) for i, (lo, hi) in enumerate(edges)])
+    number = F.coalesce(*[F.when(F.col("_x").between(lo, hi), i) for i, (lo, hi, _) in enumerate(edges)])
     inside = attach(rows, flat, by).withColumn("_no", number)
     return inside.where(F.col("_no").isNotNull()), edges
 
@@ -66,21 +67,23 @@ def _log_scale(x: Column) -> Column:
 
 
 def _narrow(
-    rows: DataFrame, cells: DataFrame, by: list[str], width: int, bins: int, log_scale: bool
+    rows: DataFrame, cells: DataFrame, by: list[str], width: int, limit: int, bins: int, log_scale: bool
 ) -> DataFrame:
-    """Cut each cell into equal-width bins and keep the bins that hold a wanted rank."""
+    """Cut each cell over the limit into bins and keep the bins that hold a wanted rank.
+
+    A cell within the limit stays one bin, so small groups add one count each to the shuffle.
+    """
     inside, edges = _in_cells(rows, cells, by, width)
     x, scale = F.col("_x"), _log_scale if log_scale else (lambda c: c)
 
-    def place(lo: Column, hi: Column) -> Column:
+    def place(lo: Column, hi: Column, size: Column) -> Column:
         share = F.try_divide(scale(x) - scale(lo), scale(hi) - scale(lo))
         share = F.nanvl(F.coalesce(share, F.lit(0.5)), F.lit(0.5))
         cut = F.least(F.floor(share * bins).cast("int"), F.lit(bins - 1))
-        return F.when(x <= lo, F.lit(0)).when(x >= hi, F.lit(bins - 1)).otherwise(cut)
+        whole = (size <= limit) | (x <= lo)
+        return F.when(whole, F.lit(0)).when(x >= hi, F.lit(bins - 1)).otherwise(cut)
 
-    bin_number = F.coalesce(
-        *[F.when(F.col("_no") == i, place(lo, hi)) for i, (lo, hi) in enumerate(edges)]
-    )
+    bin_number = F.coalesce(*[F.when(F.col("_no") == i, place(*edge)) for i, edge in enumerate(edges)])
     counts = inside.groupBy(*by, "_no", bin_number.alias("_bin")).agg(
         F.count("*").alias("_count"), F.min("_x").alias("lo"), F.max("_x").alias("hi")
     )
@@ -91,6 +94,22 @@ def _narrow(
     return kept.groupBy(*by, "_n").agg(F.collect_list("_cell").alias("_cells"))
 
 
+def _progress(cells: DataFrame, leaf_rows: int, bins: int) -> tuple[int, int, bool]:
+    """(cells per group, rows a cell may have, whether all cells keep to that).
+
+    With very many rows in question over all groups, cells are made smaller, because counting bins
+    then moves far less data than listing values.
+    """
+    each = cells.select(F.size("_cells").alias("width"), F.explode("_cells").alias("cell"))
+    open_size = F.when(F.col("cell.lo") < F.col("cell.hi"), F.col("cell.size"))
+    state = each.agg(
+        F.max("width").alias("width"), F.sum(open_size).alias("total"), F.max(open_size).alias("largest")
+    ).head()
+    many = (state["total"] or 0) > leaf_rows * MANY_LEAVES
+    limit = min(leaf_rows, 8 * bins) if many else leaf_rows
+    return state["width"] or 1, limit, (state["largest"] or 0) <= limit
+
+
 def exact_quantiles(
     df: DataFrame,
     column: str,
@@ -128,12 +147,10 @@ def exact_quantiles(
     cells = span.where(F.col("_n") > 0).select(*by, "_n", F.array(whole).alias("_cells"))
     for step in count():
         cells = settle(cells, "cells")
-        large = F.exists("_cells", lambda c: (c["size"] > leaf_rows) & (c["lo"] < c["hi"]))
-        state = cells.agg(F.max(F.size("_cells")).alias("width"), F.max(large).alias("large")).head()
-        width = state["width"] or 1
-        if not state["large"]:
+        width, limit, done = _progress(cells, leaf_rows, bins)
+        if done:
             break
-        cells = _narrow(rows, cells, by, width, bins, log_scale=step % 2 == 1)
+        cells = _narrow(rows, cells, by, width, limit, bins, log_scale=step % 2 == 1)
 
     inside, _ = _in_cells(rows, cells, by, width)
     counts = inside.groupBy(*by, "_no", "_x").agg(F.count("*").alias("_count"))
