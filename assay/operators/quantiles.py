@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 
 from assay.session import attach, names, settle
 
-LEAF_ROWS = 1_000_000
+LEAF_ROWS = 20_000
 BINS = 4096
-MANY_LEAVES = 100
 TINY = 1e-300
 
 
@@ -94,20 +93,12 @@ def _narrow(
     return kept.groupBy(*by, "_n").agg(F.collect_list("_cell").alias("_cells"))
 
 
-def _progress(cells: DataFrame, leaf_rows: int, bins: int) -> tuple[int, int, bool]:
-    """(cells per group, rows a cell may have, whether all cells keep to that).
-
-    With very many rows in question over all groups, cells are made smaller, because counting bins
-    then moves far less data than listing values.
-    """
+def _progress(cells: DataFrame, leaf_rows: int) -> tuple[int, bool]:
+    """(most cells in a group, whether every cell has few rows or one value)."""
     each = cells.select(F.size("_cells").alias("width"), F.explode("_cells").alias("cell"))
-    open_size = F.when(F.col("cell.lo") < F.col("cell.hi"), F.col("cell.size"))
-    state = each.agg(
-        F.max("width").alias("width"), F.sum(open_size).alias("total"), F.max(open_size).alias("largest")
-    ).head()
-    many = (state["total"] or 0) > leaf_rows * MANY_LEAVES
-    limit = min(leaf_rows, 8 * bins) if many else leaf_rows
-    return state["width"] or 1, limit, (state["largest"] or 0) <= limit
+    large = (F.col("cell.size") > leaf_rows) & (F.col("cell.lo") < F.col("cell.hi"))
+    state = each.agg(F.max("width").alias("width"), F.max(large).alias("large")).head()
+    return state["width"] or 1, not state["large"]
 
 
 def exact_quantiles(
@@ -147,10 +138,10 @@ def exact_quantiles(
     cells = span.where(F.col("_n") > 0).select(*by, "_n", F.array(whole).alias("_cells"))
     for step in count():
         cells = settle(cells, "cells")
-        width, limit, done = _progress(cells, leaf_rows, bins)
+        width, done = _progress(cells, leaf_rows)
         if done:
             break
-        cells = _narrow(rows, cells, by, width, limit, bins, log_scale=step % 2 == 1)
+        cells = _narrow(rows, cells, by, width, leaf_rows, bins, log_scale=step % 2 == 1)
 
     inside, _ = _in_cells(rows, cells, by, width)
     counts = inside.groupBy(*by, "_no", "_x").agg(F.count("*").alias("_count"))
