@@ -16,7 +16,7 @@ FEATURES = (
 
 def read_geojson(spark: SparkSession, path) -> DataFrame:
     """One row per file; a folder of many files spreads over the cluster file by file."""
-    return spark.read.option("wholetext", True).text(path)
+    return spark.read.text(path, wholetext=True)
 
 
 def geojson_points(
