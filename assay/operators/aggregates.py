@@ -125,13 +125,17 @@ def pattern_share(df: DataFrame, column: str, patterns: dict[str, str] | None =
     return rows.where(F.col("share_pct") > least)
 
 
-def group_summary(df: DataFrame, by, means, median: str, accuracy: int = 10_000) -> DataFrame:
-    """Per group: mean of some columns, discrete median of one, and the number of rows."""
-    return df.groupBy(*names(by)).agg(
-        *[F.avg(c).alias(f"mean_{c}") for c in names(means)],
-        F.percentile_approx(median, 0.5, accuracy).alias(f"median_{median}"),
-        F.count("*").alias("n"),
-    )
+def group_summary(df: DataFrame, by, means, median: str, accuracy: int | None = None) -> DataFrame:
+    """Per group: mean of some columns, discrete median of one, and the number of rows.
+
+    The median is exact, or from a sketch in the same pass if an accuracy is given.
+    """
+    by, out = names(by), f"median_{median}"
+    measures = [F.avg(c).alias(f"mean_{c}") for c in names(means)] + [F.count("*").alias("n")]
+    if accuracy is not None:
+        return df.groupBy(*by).agg(F.percentile_approx(median, 0.5, accuracy).alias(out), *measures)
+    medians = settle(exact_quantiles(df, median, {out: 0.5}, by, discrete=True), "medians")
+    return attach(df.groupBy(*by).agg(*measures), medians, by)
 
 
 def summary(df: DataFrame, column: str) -> DataFrame:
@@ -257,14 +261,11 @@ def quality_stats(df: DataFrame, key: str, period: str | None = None) -> DataFra
     return out
 
 
-def gap_stats(df: DataFrame, column: str, formula: Column, accuracy: int = 10_000) -> DataFrame:
+def gap_stats(df: DataFrame, column: str, formula: Column) -> DataFrame:
     """Mean, discrete median and greatest absolute gap between a column and its formula."""
-    gap = F.abs(F.col(column) - formula)
-    return df.agg(
-        F.avg(gap).alias("avg_gap"),
-        F.percentile_approx(gap, 0.5, accuracy).alias("median_gap"),
-        F.max(gap).alias("max_gap"),
-    )
+    gaps = df.select(F.abs(F.col(column) - formula).alias("gap"))
+    median = exact_quantiles(gaps, "gap", {"median_gap": 0.5}, discrete=True)
+    return attach(gaps.agg(F.avg("gap").alias("avg_gap"), F.max("gap").alias("max_gap")), settle(median, "median"))
 
 
 def box_summary(df: DataFrame, by, column: str, reach: float = 1.5) -> DataFrame:

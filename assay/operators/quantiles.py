@@ -173,6 +173,13 @@ def sketched_quantiles(
     )
 
 
-def group_median(df: DataFrame, by, column: str, out: str = "median", accuracy: int = 10_000) -> DataFrame:
-    """Discrete median per group from a sketch; exact for groups within the accuracy."""
-    return df.groupBy(*names(by)).agg(F.percentile_approx(column, 0.5, accuracy).alias(out))
+def group_median(df: DataFrame, by, column: str, out: str = "median", accuracy: int | None = None) -> DataFrame:
+    """Discrete median per group, null for a group without values.
+
+    It is exact, or comes from a one-pass sketch of the given accuracy (rank error 1 / accuracy).
+    """
+    by = names(by)
+    if accuracy is not None:
+        return df.groupBy(*by).agg(F.percentile_approx(column, 0.5, accuracy).alias(out))
+    medians = settle(exact_quantiles(df, column, {out: 0.5}, by, discrete=True), "medians")
+    return attach(df.select(*by).distinct(), medians, by) if by else medians

@@ -71,8 +71,10 @@ def test_sketch_is_within_its_error(frame):
 
 
 def test_group_median_is_discrete(frame):
-    df = frame([("a", 1.0), ("a", 2.0), ("b", 5.0)], "g string, x double")
-    assert dict(map(tuple, group_median(df, "g", "x").collect())) == {"a": 1.0, "b": 5.0}
+    df = frame([("a", 1.0), ("a", 2.0), ("b", 5.0), ("c", None), (None, 4.0)], "g string, x double")
+    wanted = {"a": 1.0, "b": 5.0, "c": None, None: 4.0}
+    assert dict(map(tuple, group_median(df, "g", "x").collect())) == wanted
+    assert dict(map(tuple, group_median(df, "g", "x", accuracy=100).collect())) == wanted
 
 
 def test_zscore_flags(frame):
