@@ -145,3 +145,57 @@ def exact_dedup(spark, folder):
     from assay.llm.exact import dedupe
 
     return dedupe(table(spark, folder, "documents"))
+
+
+_WORDS_SQL = """regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+
+
+@query(
+    "op5_decontamination",
+    f"""
+with d as (select doc_id, {_WORDS_SQL.format("coalesce(text, '')")} as w from documents),
+b as (select item_id, {_WORDS_SQL.format("coalesce(text, '')")} as w from benchmark),
+items as (
+  select item_id, least(13, len(w)) as n, unnest(range(1, len(w) - least(13, len(w)) + 2)) as i, w from b where len(w) > 0
+), windows as (
+  select distinct item_id, n, array_to_string(w[i:i + n - 1], ' ') as gram from items
+), lengths as (select distinct n from windows),
+grams as (
+  select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as gram
+  from (select doc_id, w, n, unnest(range(1, greatest(len(w) - n + 2, 1))) as i from d, lengths)
+), hits as (select doc_id, i, g.n, item_id from grams g join windows using (n, gram)),
+spots as (select distinct doc_id, unnest(range(i, i + n)) as at from (select distinct doc_id, i, n from hits)),
+counted as (select doc_id, count(*) as n_hit from spots group by doc_id),
+named as (
+  select doc_id, count(*) as n_items, sha256(string_agg(id, ',' order by id)) as items_sha256
+  from (select distinct doc_id, cast(item_id as varchar) as id from hits) group by doc_id
+)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  coalesce(items_sha256, sha256('')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from d left join counted using (doc_id) left join named using (doc_id)
+""",
+)
+def decontamination(spark, folder):
+    from assay.llm.decontaminate import judge, search
+
+    return judge(search(table(spark, folder, "documents"), table(spark, folder, "benchmark")))
+
+
+SEQUENCE = 1024
+END_ID = 2
+
+
+@query("op8_best_fit_packing")
+def best_fit_packing(spark, folder):
+    import public_tokenizers
+
+    from assay.llm.packing import pack_documents
+
+    return pack_documents(
+        table(spark, folder, "documents"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+        END_ID,
+        SEQUENCE,
+    )
