@@ -199,3 +199,30 @@ def best_fit_packing(spark, folder):
         END_ID,
         SEQUENCE,
     )
+
+
+@query(
+    "op7_ngram_jaccard_join",
+    """
+with recursive d as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[ \\t-\\r]+'), lambda x: x <> '') as w from documents
+), shingles as (
+  select distinct doc_id, md5(array_to_string(w[i:i + 4], ' ')) as g
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from d where len(w) > 0)
+), sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+pairs as (
+  select a.doc_id as a, b.doc_id as b, count(*) as o from shingles a join shingles b on a.g = b.g and a.doc_id <> b.doc_id group by all
+), links as (
+  select p.a, p.b from pairs p join sizes x on x.doc_id = p.a join sizes y on y.doc_id = p.b where 100 * o >= 80 * (x.n + y.n - o)
+), reach as (
+  select doc_id as a, doc_id as b from d union select r.a, l.b from reach r join links l on l.a = r.b
+)
+select doc_id, coalesce(n, 0) as n_shingles, least(doc_id, coalesce(m, doc_id)) as component_id
+from d left join sizes using (doc_id) left join (select a as doc_id, min(b) as m from reach group by a) using (doc_id)
+""",
+)
+def ngram_jaccard_join(spark, folder):
+    from assay.llm.jaccard import link_documents
+
+    return link_documents(table(spark, folder, "documents"))
