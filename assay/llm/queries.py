@@ -226,3 +226,28 @@ def ngram_jaccard_join(spark, folder):
     from assay.llm.jaccard import link_documents
 
     return link_documents(table(spark, folder, "documents"))
+
+
+#: The chain's order: documents of low quality first, whose probability then helps to tell toxic ones.
+CATEGORIES = ("low_quality", "toxic")
+
+
+def graded(labels: DataFrame) -> DataFrame:
+    """The given labels as 0/1 columns of the categories."""
+    from pyspark.sql import functions as F
+
+    return labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+
+
+@query("op3_toxicity")
+def toxicity(spark, folder):
+    from pyspark.sql import functions as F
+
+    from assay.llm.toxicity import classify
+
+    found = classify(table(spark, folder, "documents"), graded(table(spark, folder, "labels")), CATEGORIES)
+    return found.select(
+        "doc_id",
+        *[F.round(F.col("probabilities")[i], 6).alias(f"p_{c}") for i, c in enumerate(CATEGORIES)],
+        F.col("flags")[1].alias("toxic"),
+    )
