@@ -251,3 +251,27 @@ def toxicity(spark, folder):
         *[F.round(F.col("probabilities")[i], 6).alias(f"p_{c}") for i, c in enumerate(CATEGORIES)],
         F.col("flags")[1].alias("toxic"),
     )
+
+
+@query("op6_lm_scoring")
+def lm_scoring(spark, folder):
+    from assay.llm.ngrams import score_documents
+
+    return score_documents(table(spark, folder, "documents"))
+
+
+#: The columns that do not depend on the model; tests compare them.
+LM_BASE_SQL = r"""
+with d as (
+  select doc_id, list_append(list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[ \t-\r]+'), lambda x: x <> ''), ' ') as w from documents
+)
+select doc_id, len(w) as n_tokens from d
+"""
+
+
+@query("op4_suffix_array_dedup")
+def suffix_array_dedup(spark, folder):
+    from assay.llm.suffixes import cut_repeats, digest
+
+    return digest(cut_repeats(table(spark, folder, "documents")))
