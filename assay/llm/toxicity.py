@@ -256,13 +256,13 @@ class TokenWeights(dict):
         return row
 
 
-def rate(df: DataFrame, chain: list[np.ndarray], text: str = "text") -> DataFrame:
-    """All columns of `df` and `probabilities`, one per category in the chain's order.
+def rate(df: DataFrame, chain: list[np.ndarray], text: str = "text", into: str = "probabilities") -> DataFrame:
+    """All columns of `df` and `into`, an array with one probability per category in the chain's order.
 
     A null text counts as empty. The models have a fixed size and are broadcast.
     """
     shared = df.sparkSession.sparkContext.broadcast([w.astype(np.float32) for w in chain])
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in df.schema.fields)}, probabilities array<double>"
+    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in df.schema.fields)}, `{into}` array<double>"
 
     def run(source):
         models = shared.value
@@ -280,12 +280,24 @@ def rate(df: DataFrame, chain: list[np.ndarray], text: str = "text") -> DataFram
                     side.append(float(sigmoid(sums[c] + np.dot(w[BUCKETS:], side))))
                 rated.append(side[DENSE:])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(rated, pa.list_(pa.float64()))], names=[*batch.schema.names, "probabilities"]
+                [*batch.columns, pa.array(rated, pa.list_(pa.float64()))], names=[*batch.schema.names, into]
             )
 
     return df.mapInArrow(run, schema)
 
 
+def drop_flagged(
+    df: DataFrame, labels: DataFrame, categories: Sequence[str], drop: str, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD
+) -> DataFrame:
+    """`df` without the rows whose probability of category `drop` is above the threshold; same columns."""
+    chain = fit_chain(df, labels, categories, key, text)
+    into = "_probabilities"
+    while into in df.columns:
+        into = "_" + into
+    rated = rate(df, chain, text, into)
+    return rated.where(F.col(into)[list(categories).index(drop)] <= threshold).drop(into)
+
+
 def classify(
     df: DataFrame, labels: DataFrame, categories: Sequence[str], key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
