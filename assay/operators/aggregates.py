@@ -22,9 +22,6 @@ TEXT_SHAPES = {
     "unit_text": r"\d+\s*(year|month)",
 }
 
-# Beyond this many columns the pairwise aggregates would outgrow one generated method.
-PAIRWISE_COLUMNS = 12
-
 
 def count_if(condition: Column) -> Column:
     return F.coalesce(F.sum(F.when(condition, 1).otherwise(0).cast("long")), F.lit(0).cast("long"))
@@ -168,9 +165,19 @@ def histogram(df: DataFrame, column: str, bins: int = 80) -> DataFrame:
     )
 
 
+def pearson_r(a: Column, b: Column) -> Column:
+    """Pearson correlation over rows with both values; null if one is constant or a value is NaN."""
+    x, y = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    return F.when(~F.isnan(r), F.when(r > 1, 1.0).when(r < -1, -1.0).otherwise(r))
+
+
 def corr_with(df: DataFrame, columns, target: str) -> DataFrame:
-    """(feature, r): Pearson correlation of each column with the target, in one pass."""
-    one = df.agg(*[F.corr(c, target).alias(c) for c in names(columns)])
+    """(feature, r): Pearson correlation of each column with the target, in one pass.
+
+    A constant column has no correlation (null).
+    """
+    one = df.agg(*[pearson_r(F.col(c), F.col(target)).alias(c) for c in names(columns)])
     return one.unpivot([], names(columns), "feature", "r")
 
 
@@ -182,47 +189,39 @@ def complete_rows(df: DataFrame, columns) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, columns) -> DataFrame:
-    """(a, b, r) for every ordered pair, over rows in which all columns are present."""
+    """(a, b, r) for every ordered pair, over rows in which all columns are present, in one pass.
+
+    A constant column has null with every column, itself included, and so has every pair of an
+    empty table.
+    """
     columns = names(columns)
     rows = complete_rows(df, columns)
-    if len(columns) > PAIRWISE_COLUMNS:
-        return _wide_corr_matrix(rows, columns)
+    pairs = list(combinations(columns, 2))
     one = rows.agg(
-        *[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(combinations(columns, 2))]
+        *[pearson_r(F.col(a), F.col(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)],
+        *[F.when(F.stddev_pop(c) > 0, 1.0).alias(f"d{i}") for i, c in enumerate(columns)],
     )
 
     def entry(a, b, r):
-        return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r"))
+        return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(r).alias("r"))
 
-    cells = [entry(c, c, F.lit(1.0)) for c in columns]
-    for i, (a, b) in enumerate(combinations(columns, 2)):
-        cells += [entry(a, b, F.col(f"r{i}")), entry(b, a, F.col(f"r{i}"))]
+    cells = [entry(c, c, f"d{i}") for i, c in enumerate(columns)]
+    for i, (a, b) in enumerate(pairs):
+        cells += [entry(a, b, f"r{i}"), entry(b, a, f"r{i}")]
     return to_rows(one, cells)
 
 
-def _wide_corr_matrix(rows: DataFrame, columns: list[str]) -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
-    vectors = VectorAssembler(inputCols=columns, outputCol="_v").transform(rows)
-    r = Correlation.corr(vectors, "_v").head()[0].toArray()
-    cells = [
-        (a, b, float(r[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)
-    ]
-    return rows.sparkSession.createDataFrame(cells, "a string, b string, r double")
-
-
 def high_corr(matrix: DataFrame, threshold: float = 0.85, order=None) -> DataFrame:
     """Each pair once whose correlation exceeds the threshold in size, strongest first.
 
-    `order` lists the columns so that `a` comes before `b` in it; otherwise names are compared.
+    Pairs without a correlation (null or NaN) do not exceed it. `order` lists the columns so that `a` comes before `b` in it; otherwise names are compared.
     """
     if order:
         place = F.create_map(*[F.lit(x) for i, c in enumerate(order) for x in (c, i)])
         upper = place[F.col("a")] < place[F.col("b")]
     else:
         upper = F.col("a") < F.col("b")
-    return matrix.where(upper & (F.abs("r") > threshold)).orderBy(F.abs(F.col("r")).desc(), "a", "b")
+    return matrix.where(upper & ~F.isnan("r") & (F.abs("r") > threshold)).orderBy(F.abs(F.col("r")).desc(), "a", "b")
 
 
 def collinear_drops(pairs: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:

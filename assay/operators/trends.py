@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from assay.operators.aggregates import complete_rows
 from assay.session import attach, names
 
+# Eigenvalues up to this, per column, are no variance; smaller weights on them are rounding.
+SINGULAR, TIED_WEIGHT = 1e-11, 1e-4
+
 
 def _finite(df: DataFrame, x: str, y: str, by=()) -> DataFrame:
     out = df.select(*by, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
@@ -95,8 +98,10 @@ def quadratic_fit(df: DataFrame, x: str, y: str, n: int = 200) -> DataFrame:
 def vif(df: DataFrame, columns, min_rows: int = 10) -> DataFrame:
     """(feature, vif), uncentered, over all complete rows; constant columns are left out.
 
-    One aggregation gives all products of columns (k by k numbers); the inverse of that small
-    matrix G gives VIF_i = G_ii * inverse(G)_ii. Empty if there are under two columns or ten rows.
+    One aggregation gives all products of columns (k by k numbers). With that small matrix scaled to
+    a unit diagonal, the VIFs are the diagonal of its inverse, summed over its eigenvectors; a column
+    with weight on an eigenvector of no variance is a combination of others, and its VIF is infinite.
+    Empty if there are under two columns or ten rows.
     """
     columns = names(columns)
     rows = complete_rows(df, columns)
@@ -111,8 +116,10 @@ def vif(df: DataFrame, columns, min_rows: int = 10) -> DataFrame:
     if len(keep) >= 2 and row["n"] >= min_rows:
         gram = np.array([[row[f"g{min(i, j)}_{max(i, j)}"] for j in keep] for i in keep])
         scale = np.sqrt(np.diag(gram))
-        # Scaled to unit diagonal first, so that units do not spoil the inverse.
-        inverse = np.linalg.pinv(gram / np.outer(scale, scale), hermitian=True)
-        result = [(columns[i], float(inverse[k, k])) for k, i in enumerate(keep)]
+        values, vectors = np.linalg.eigh(gram / np.outer(scale, scale))
+        sound = values > SINGULAR * len(keep)
+        vifs = (vectors[:, sound] ** 2 / values[sound]).sum(1)
+        tied = (np.abs(vectors[:, ~sound]) > TIED_WEIGHT).any(1)
+        result = [(columns[i], float("inf") if tied[k] else float(vifs[k])) for k, i in enumerate(keep)]
     table = rows.sparkSession.createDataFrame(result, "feature string, vif double")
     return table.orderBy(F.col("vif").desc(), "feature")

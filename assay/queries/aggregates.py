@@ -172,43 +172,56 @@ def box_summary(t):
     return A.box_summary(t.role("deals"), "town", "resale_price")
 
 
+# Beside the given numbers: a constant, which has no correlation, and a column twice.
+MORE_NUMBERS = [
+    *NUMBERS, "transaction_month", "transaction_quarter", "lease_commence_date", "prediction", "longitude", "latitude",
+    "always_one", "area_again",
+]
+MORE = "more as (select *, 1e0 as always_one, floor_area_sqm as area_again from deals)"
+
+
+def _more(t):
+    return t.role("deals").withColumns({"always_one": F.lit(1.0), "area_again": F.col("floor_area_sqm")})
+
+
+def _r(a: str, b: str) -> str:
+    return f"case when stddev_pop({a}) > 0 and stddev_pop({b}) > 0 then corr({a}, {b}) end"
+
+
 @query(
     "pearson",
-    " union all ".join(
-        f"select '{c}' as feature, {r6(f'corr({c}, resale_price)', 'r')} from deals" for c in NUMBERS[1:]
+    f"with {MORE} " + " union all ".join(
+        f"select '{c}' as feature, {r6(_r(c, 'resale_price'), 'r')} from more" for c in MORE_NUMBERS[1:]
     ),
     "deals",
 )
 def pearson(t):
-    return A.corr_with(t.role("deals"), NUMBERS[1:], "resale_price")
+    return A.corr_with(_more(t), MORE_NUMBERS[1:], "resale_price")
 
 
-WHOLE = "whole as (select * from deals where " + " and ".join(f"{c} is not null" for c in NUMBERS) + ")"
-MATRIX = " union all ".join(
-    f"select '{a}' as a, '{b}' as b, " + (r6(f"corr({min(a, b)}, {max(a, b)})", "r") if a != b else "1e0 as r") + " from whole"
-    for a in NUMBERS for b in NUMBERS
+WHOLE = "whole as (select * from more where " + " and ".join(f"{c} is not null" for c in MORE_NUMBERS) + ")"
+MATRIX_SQL = f"with {MORE}, {WHOLE} " + " union all ".join(
+    f"select '{a}' as a, '{b}' as b, {r6(_r(min(a, b), max(a, b)), 'r')} from whole" for a in MORE_NUMBERS for b in MORE_NUMBERS
 )
-# One row per pair for the constant diagonal.
-MATRIX_SQL = f"with {WHOLE} select distinct a, b, r from ({MATRIX})"
 
 
 @query("corr_matrix", MATRIX_SQL, "deals")
 def corr_matrix(t):
-    return A.corr_matrix(t.role("deals"), NUMBERS)
+    return A.corr_matrix(_more(t), MORE_NUMBERS)
 
 
-LEASE = ["remaining_lease_years", "years_since_start", "transaction_year", "resale_price"]
+LEASE = ["remaining_lease_years", "years_since_start", "transaction_year", "resale_price", "always_one"]
 
 
 def _lease_matrix(t):
     since = (F.col("transaction_year") - F.col("lease_commence_date")).cast("double")
-    return A.corr_matrix(t.role("deals").withColumn("years_since_start", since), LEASE)
+    return A.corr_matrix(_more(t).withColumn("years_since_start", since), LEASE)
 
 
-LEASE_PAIRS = """whole as (select cast(transaction_year - lease_commence_date as double) as years_since_start, * from deals
-  where resale_price is not null),
+LEASE_PAIRS = """whole as (select cast(transaction_year - lease_commence_date as double) as years_since_start, 1e0 as always_one, *
+  from deals where resale_price is not null),
  pairs as (""" + " union all ".join(
-    f"select '{a}' as a, '{b}' as b, corr({a}, {b}) as r from whole"
+    f"select '{a}' as a, '{b}' as b, {_r(a, b)} as r from whole"
     for i, a in enumerate(LEASE) for b in LEASE[i + 1:]
 ) + ")"
 
@@ -237,13 +250,18 @@ def collinear_drops(t):
     f"""with w as (select cast(floor_area_sqm as double) as x, remaining_lease_years as y from deals
       where floor_area_sqm is not null),
      g as (select sum(x * y) * sum(x * y) / (sum(x * x) * sum(y * y)) as rr from w)
-     select 'floor_area_sqm' as feature, {r6('1 / (1 - rr)', 'vif')} from g
-     union all select 'remaining_lease_years', {r6('1 / (1 - rr)', 'vif')} from g""",
+     select 'plain' as inputs, 'floor_area_sqm' as feature, {r6('1 / (1 - rr)', 'vif')}, false as infinite from g
+     union all select 'plain', 'remaining_lease_years', {r6('1 / (1 - rr)', 'vif')}, false from g
+     union all select 'doubled', 'remaining_lease_years', {r6('1 / (1 - rr)', 'vif')}, false from g
+     union all select 'doubled', 'floor_area_sqm', null, true union all select 'doubled', 'area_again', null, true""",
     "deals",
 )
 def vif(t):
-    rows = t.role("deals").withColumn("constant", F.lit(1.0))
-    return Tr.vif(rows, ["floor_area_sqm", "remaining_lease_years", "constant"])
+    columns = ["floor_area_sqm", "remaining_lease_years", "always_one"]
+    plain = Tr.vif(_more(t), columns).withColumn("inputs", F.lit("plain"))
+    doubled = Tr.vif(_more(t), [*columns, "area_again"]).withColumn("inputs", F.lit("doubled"))
+    infinite = F.col("vif") == float("inf")
+    return plain.union(doubled).select("inputs", "feature", F.when(~infinite, F.col("vif")).alias("vif"), infinite.alias("infinite"))
 
 
 @query(
