@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assay.functions.dates import quarters_back
 from assay.session import col, names
 
-BUCKETS = 10_000
+DIGITS = 15  # of a digest that decide, so shares are exact to 2 ** -60
 
 
 def order_by(df: DataFrame, keys, ties=()) -> DataFrame:
@@ -33,23 +35,35 @@ def limit_rows(df: DataFrame, n: int) -> DataFrame:
 
 
 def digest(key, seed: int = 42) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), col(key).cast("string")))
+    """MD5 of the seed and the key. A null key has the digest of an empty one."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(col(key).cast("string"), F.lit(""))))
+
+
+def place_of(key, seed: int = 42) -> Column:
+    """A key's whole number below 16 ** DIGITS: equal in every run, independent of the row's place."""
+    return F.conv(F.substring(digest(key, seed), 1, DIGITS), 16, 10).cast("long")
+
+
+def bucket_of(key, buckets: int, seed: int = 42) -> Column:
+    return place_of(key, seed) % F.lit(buckets)
 
 
-def bucket_of(key, buckets: int = BUCKETS, seed: int = 42) -> Column:
-    """Bucket of a key by its digest: equal in every run, independent of the row's place."""
-    return F.conv(F.substring(digest(key, seed), 1, 7), 16, 10).cast("long") % F.lit(buckets)
+def first_places(fraction: float) -> int:
+    """The number below which a key's place lies with the given probability."""
+    if not 0 <= fraction <= 1:
+        raise ValueError("a share lies between 0 and 1")
+    return round(Fraction(fraction) * 16**DIGITS)
 
 
 def sample_by_key(df: DataFrame, key, fraction: float, seed: int = 42) -> DataFrame:
-    """Sample without replacement of the keys, all rows of a key together."""
-    return df.where(bucket_of(key, seed=seed) < round(fraction * BUCKETS))
+    """Sample without replacement of the keys, all rows of a key together; null is one more key."""
+    return df.where(place_of(key, seed) < first_places(fraction))
 
 
 def split_by_key(df: DataFrame, key, fraction: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    cut = round(fraction * BUCKETS)
-    bucket = F.coalesce(bucket_of(key, seed=seed), F.lit(0))
-    return df.where(bucket < cut), df.where(bucket >= cut)
+    """(rows of the sampled keys, all others); null is one more key."""
+    cut = first_places(fraction)
+    return df.where(place_of(key, seed) < cut), df.where(place_of(key, seed) >= cut)
 
 
 def sample_n(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:

@@ -56,18 +56,19 @@ NUMERIC_INPUTS = [
 ]
 
 
-def index_categories(train: DataFrame, columns) -> PipelineModel:
-    """Fit one indexer per column on the training rows: most frequent label first, ties by name.
+def index_categories(train: DataFrame, columns) -> StringIndexerModel:
+    """One indexer for all columns, fitted on the training rows in one pass.
 
-    Unseen and null values get the index after the last label.
+    Most frequent label first, ties by name. Unseen and null values get the index after the last label.
     """
-    return Pipeline(
-        stages=[
-            StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="keep",
-                          stringOrderType="frequencyDesc")
-            for c in names(columns)
-        ]
-    ).fit(train)
+    columns = names(columns)
+    indexer = StringIndexer(
+        inputCols=columns,
+        outputCols=[f"{c}_index" for c in columns],
+        handleInvalid="keep",
+        stringOrderType="frequencyDesc",
+    )
+    return indexer.fit(train)
 
 
 def one_hot(df: DataFrame, columns) -> DataFrame:
@@ -82,13 +83,12 @@ def one_hot(df: DataFrame, columns) -> DataFrame:
     return encoder.fit(df).transform(df)
 
 
-def label_table(model: PipelineModel, like: DataFrame) -> DataFrame:
-    """(column, index, label) of fitted indexers."""
+def label_table(model: StringIndexerModel, like: DataFrame) -> DataFrame:
+    """(column, index, label) of a fitted indexer."""
     rows = [
-        (stage.getOutputCol().removesuffix("_index"), i, label)
-        for stage in model.stages
-        if isinstance(stage, StringIndexerModel)
-        for i, label in enumerate(stage.labels)
+        (column, i, label)
+        for column, labels in zip(model.getInputCols(), model.labelsArray)
+        for i, label in enumerate(labels)
     ]
     return like.sparkSession.createDataFrame(rows, "column string, index int, label string")
 
@@ -142,7 +142,7 @@ def cross_validate(
     Folds come from the digest of a row key, so they do not depend on partitioning.
     """
     maps = model.param_maps()
-    rows = df.withColumn("_fold", F.coalesce(bucket_of(key, folds, seed=7), F.lit(0)).cast("int"))
+    rows = df.withColumn("_fold", bucket_of(key, folds, seed=7).cast("int"))
     search = CrossValidator(
         estimator=model.estimator,
         estimatorParamMaps=maps,

@@ -9,12 +9,12 @@ from assay.plans import training as M
 from assay.queries.aggregates import METRICS, RESIDUALS
 from assay.queries.jobs import engineered
 from assay.queries.registry import query, r6
-from assay.queries.selection import BUCKET
+from assay.queries.selection import within_share
 from assay.session import attach, settle
 
 RANKED = """ranked as (select {0}, row_number() over (order by count(*) desc, {0}) - 1 as i, (select count(distinct {0}) from {1}) as n
  from {1} where {0} is not null group by {0})"""
-TRAIN = f"train as (select * from deals where {BUCKET.format('txn_id')} < 8000 and town <> 'NATION_3')"
+TRAIN = f"train as (select * from deals where {within_share('txn_id', 0.8)} and town <> 'NATION_3')"
 
 
 def _split(t):

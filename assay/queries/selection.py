@@ -1,5 +1,7 @@
 """Queries of windows, ordering, samples, splits, unions and de-duplication."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from assay.operators import ordering as O
@@ -11,7 +13,16 @@ from assay.operators.periods import growth, rolling_mean
 from assay.operators.quantiles import group_median
 from assay.queries.registry import query, r6
 
-BUCKET = "('0x' || substr(md5(concat('42:', {0})), 1, 7))::bigint % 10000"
+# A key's place among 16 ** 15, as `ordering.place_of` has it.
+PLACE = "('0x' || substr(md5(concat('42:', {0})), 1, 15))::bigint"
+
+
+def within_share(key: str, fraction: float) -> str:
+    return f"{PLACE.format(key)} < {O.first_places(fraction)}"
+
+
+# Down to shares of which a table of this size has no row.
+SHARES = (0.03, 1e-3, 1e-6)
 
 
 @query(
@@ -89,10 +100,15 @@ def limit_n(t):
 
 @query(
     "bernoulli_sample",
-    f"select l_orderkey, l_linenumber, l_partkey from lineitem where {BUCKET.format('l_orderkey')} < 300",
+    " union all ".join(
+        f"select {share}::double as share, l_orderkey, l_linenumber, l_partkey from lineitem where {within_share('l_orderkey', share)}"
+        for share in SHARES
+    ),
 )
 def bernoulli_sample(t):
-    return O.sample_by_key(t.table("lineitem"), "l_orderkey", 0.03).select("l_orderkey", "l_linenumber", "l_partkey")
+    rows = t.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    parts = [O.sample_by_key(rows, "l_orderkey", s).select(F.lit(s).alias("share"), "*") for s in SHARES]
+    return reduce(lambda a, b: a.union(b), parts)
 
 
 @query(
@@ -111,11 +127,17 @@ def n_sample(t):
 
 @query(
     "random_split",
-    f"select o_orderkey, case when {BUCKET.format('o_orderkey')} < 8000 then 'train' else 'test' end as part from orders",
+    " union all ".join(
+        f"select {share}::double as share, o_orderkey, case when {within_share('o_orderkey', share)} then 'train' else 'test' end as part from orders"
+        for share in (0.8, 0.99999)
+    ),
 )
 def random_split(t):
-    train, test = O.split_by_key(t.table("orders").select("o_orderkey"), "o_orderkey", 0.8)
-    return train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
+    rows, parts = t.table("orders").select("o_orderkey"), []
+    for share in (0.8, 0.99999):
+        train, test = O.split_by_key(rows, "o_orderkey", share)
+        parts += [p.select(F.lit(share).alias("share"), "o_orderkey", F.lit(name).alias("part")) for p, name in ((train, "train"), (test, "test"))]
+    return reduce(lambda a, b: a.union(b), parts)
 
 
 @query(

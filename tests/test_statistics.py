@@ -66,13 +66,43 @@ def test_correlations(table, data):
     got = {(r["a"], r["b"]): r["r"] for r in A.corr_matrix(table, ["x", "y", "z"]).collect()}
     assert got["x", "y"] == pytest.approx(m[0, 1]) and got["z", "y"] == pytest.approx(m[1, 2])
     assert len(got) == 9
-    wide = {(r["a"], r["b"]): r["r"] for r in A._wide_corr_matrix(A.complete_rows(table, ["x", "y", "z"]), ["x", "y", "z"]).collect()}
-    assert wide["x", "y"] == pytest.approx(m[0, 1])
     pairs = A.high_corr(A.corr_matrix(table, ["x", "y", "z"]), 0.85, ["y", "x", "z"])
     assert [(r["a"], r["b"]) for r in pairs.collect()] == [("y", "x")]
     assert [r[0] for r in A.collinear_drops(pairs, [("x", "y", "x"), ("x", "z", "z")]).collect()] == ["x"]
 
 
+def test_correlations_without_variance(table, frame):
+    wide = table.select("x", "y", F.lit(2.0).alias("one"), F.lit(float("nan")).alias("odd"), *[(F.col("z") * i + F.col("x")).alias(f"z{i}") for i in range(1, 13)])
+    columns = [c for c in wide.columns if c != "odd"]
+    matrix = A.corr_matrix(wide, columns)
+    got = {(r["a"], r["b"]): r["r"] for r in matrix.collect()}
+    assert len(got) == len(columns) ** 2 and got["x", "x"] == 1.0
+    assert all(got["one", c] is None and got[c, "one"] is None for c in columns)
+    assert A.high_corr(matrix, 0.0).where("a = 'one' or b = 'one'").isEmpty()
+    one, odd, x = [r["r"] for r in A.corr_with(wide, ["one", "odd", "x"], "x").orderBy("feature").collect()]
+    assert one is None and odd is None and x == pytest.approx(1.0)
+    assert A.high_corr(frame([("a", "b", float("nan")), ("a", "c", 0.9)], "a string, b string, r double")).count() == 1
+    empty = A.corr_matrix(wide.where("false"), ["x", "y"])
+    assert empty.count() == 4 and empty.where("r is not null").isEmpty() and A.high_corr(empty).isEmpty()
+
+
+def test_vif_of_combinations_is_infinite(table):
+    got = {r["feature"]: r["vif"] for r in Tr.vif(table.withColumn("w", F.col("x") * 2), ["x", "y", "w"]).collect()}
+    assert got["x"] == got["w"] == float("inf")
+    plain = {r["feature"]: r["vif"] for r in Tr.vif(table, ["x", "y"]).collect()}
+    assert got["y"] == pytest.approx(plain["y"])
+
+
+def test_small_and_large_shares(spark):
+    df = spark.range(200_000).selectExpr("id").union(spark.sql("select cast(null as bigint)"))
+    assert 1 <= O.sample_by_key(df, "id", 4e-5).count() <= 25
+    assert O.sample_by_key(df, "id", 1.0).count() == 200_001 and O.sample_by_key(df, "id", 0.0).isEmpty()
+    train, test = O.split_by_key(df, "id", 0.9999)
+    assert train.count() + test.count() == 200_001 and 1 <= test.count() <= 60
+    with pytest.raises(ValueError):
+        O.sample_by_key(df, "id", 1.5)
+
+
 def test_vif_is_uncentered(table, data):
     rows = np.array([r[2:] for r in data])
     got = {r["feature"]: r["vif"] for r in Tr.vif(table.withColumn("c", F.lit(3.0)), ["x", "y", "z", "c"]).collect()}
