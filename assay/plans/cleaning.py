@@ -60,6 +60,7 @@ def impute_term(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.coalesce(F.col(column), _term_by_formula(df)))
 
 
+# The names of steps, which configurations use.
 STEPS: dict[str, Callable[..., DataFrame]] = {
     "trim_uppercase": lambda df, c: df.withColumn(c, trim_upper(c)),
     "parse_yyyymm_date": lambda df, c: df.withColumn(c, month_to_date(c)),
@@ -77,7 +78,7 @@ STEPS: dict[str, Callable[..., DataFrame]] = {
     "compute_remaining_lease": lambda df, c: df.withColumn(
         "remaining_lease_years", remaining_term("transaction_year", "lease_commence_date")
     ),
-    "drop_column": lambda df, c: df.drop(c),
+    "drop_column": lambda df, c: df.drop(df[c]),
 }
 
 
@@ -91,25 +92,47 @@ def derive_config(df: DataFrame, keep_nulls=("remaining_lease", "flat_model"), *
     return CleaningConfig(**{"drop_nulls": with_nulls, **overrides})
 
 
+@dataclass(frozen=True)
+class Stage:
+    """A step of every plan, for the columns that a configuration and a table give it."""
+
+    name: str
+    columns: Callable[[CleaningConfig, list[str]], list[str]]
+    options: Callable[[CleaningConfig], dict] = lambda config: {}
+
+
+def _always(column: str):
+    return lambda config, present: [column]
+
+
+def _outliers(wanted: bool):
+    return lambda config, present: ["resale_price"] if (config.outlier_method.upper() == "IQR") == wanted else []
+
+
+# In order: text before what is parsed from it, rows without values before bounds are taken of the rest.
+STAGES = [
+    Stage("trim_uppercase", lambda config, present: [c for c in CATEGORICALS if c in present]),
+    Stage("parse_yyyymm_date", _always("month")),
+    Stage("derive_year_month", _always("month")),
+    Stage("parse_storey_range", lambda config, present: ["storey_range"] * config.parse_storey_range),
+    Stage("standardise_values", _always("flat_type"), lambda config: {"replacements": FLAT_TYPE_SPELLINGS}),
+    Stage("compute_remaining_lease", _always("remaining_lease")),
+    Stage("drop_column", _always("remaining_lease")),
+    Stage("drop_nulls", lambda config, present: [c for c in config.drop_nulls if c != "remaining_lease"]),
+    Stage("drop_column", lambda config, present: list(config.drop_columns)),
+    Stage(
+        "flag_outliers_iqr",
+        _outliers(True),
+        lambda config: {"multiplier": config.outlier_threshold, "relative_error": config.relative_error},
+    ),
+    Stage("flag_outliers_zscore", _outliers(False), lambda config: {"threshold": config.outlier_threshold}),
+]
+
+
 def steps_of(config: CleaningConfig, columns) -> list[Step]:
     """The ordered steps of a configuration for a table with these columns."""
-    steps = [Step("trim_uppercase", c) for c in CATEGORICALS if c in columns]
-    steps += [Step("parse_yyyymm_date", "month"), Step("derive_year_month", "month")]
-    if config.parse_storey_range:
-        steps.append(Step("parse_storey_range", "storey_range"))
-    steps.append(Step("standardise_values", "flat_type", {"replacements": FLAT_TYPE_SPELLINGS}))
-    steps += [
-        Step("compute_remaining_lease", "remaining_lease"),
-        Step("drop_column", "remaining_lease"),
-    ]
-    steps += [Step("drop_nulls", c) for c in config.drop_nulls if c != "remaining_lease"]
-    steps += [Step("drop_column", c) for c in config.drop_columns]
-    if config.outlier_method.upper() == "IQR":
-        options = {"multiplier": config.outlier_threshold, "relative_error": config.relative_error}
-        steps.append(Step("flag_outliers_iqr", "resale_price", options))
-    else:
-        steps.append(Step("flag_outliers_zscore", "resale_price", {"threshold": config.outlier_threshold}))
-    return steps
+    present = list(columns)
+    return [Step(s.name, c, s.options(config)) for s in STAGES for c in s.columns(config, present)]
 
 
 def apply_steps(df: DataFrame, steps: list[Step]) -> tuple[DataFrame, list[tuple[str, str, str]]]:

@@ -125,7 +125,7 @@ def price_index(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     rules = [
         Rule("rpi_year", "int", required=True),
-        Rule("rpi_quarter", "int", required=True),
+        Rule("rpi_quarter", "int", required=True, low=1, high=4),
         Rule("rpi_value", "double", required=True),
     ]
     valid, rejects = split_valid(parsed, rules)
