@@ -131,15 +131,16 @@ def group_summary(df: DataFrame, by, means, median: str, accuracy: int | None =
     measures = [F.avg(c).alias(f"mean_{c}") for c in names(means)] + [F.count("*").alias("n")]
     if accuracy is not None:
         return df.groupBy(*by).agg(F.percentile_approx(median, 0.5, accuracy).alias(out), *measures)
-    medians = settle(exact_quantiles(df, median, {out: 0.5}, by, discrete=True), "medians")
-    return attach(df.groupBy(*by).agg(*measures), medians, by)
+    values = settle(df.select(*dict.fromkeys([*by, *names(means), median])), "values")
+    medians = settle(exact_quantiles(values, median, {out: 0.5}, by, discrete=True, written=True), "medians")
+    return attach(values.groupBy(*by).agg(*measures), medians, by)
 
 
 def summary(df: DataFrame, column: str) -> DataFrame:
     """Overall mean and interpolated median."""
-    return attach(
-        df.agg(F.avg(column).alias("mean")), exact_quantiles(df, column, {"median": 0.5})
-    )
+    values = settle(df.select(column), "values")
+    median = settle(exact_quantiles(values, column, {"median": 0.5}, written=True), "median")
+    return attach(values.agg(F.avg(column).alias("mean")), median)
 
 
 def min_by_group(df: DataFrame, by, column: str, out: str = "least") -> DataFrame:
@@ -262,19 +263,19 @@ def quality_stats(df: DataFrame, key: str, period: str | None = None) -> DataFra
 
 def gap_stats(df: DataFrame, column: str, formula: Column) -> DataFrame:
     """Mean, discrete median and greatest absolute gap between a column and its formula."""
-    gaps = df.select(F.abs(F.col(column) - formula).alias("gap"))
-    median = exact_quantiles(gaps, "gap", {"median_gap": 0.5}, discrete=True)
+    gaps = settle(df.select(F.abs(F.col(column) - formula).alias("gap")), "gaps")
+    median = exact_quantiles(gaps, "gap", {"median_gap": 0.5}, discrete=True, written=True)
     return attach(gaps.agg(F.avg("gap").alias("avg_gap"), F.max("gap").alias("max_gap")), settle(median, "median"))
 
 
 def box_summary(df: DataFrame, by, column: str, reach: float = 1.5) -> DataFrame:
     """Per group: quartiles and whiskers at the last values within `reach` box lengths, by median."""
     by = names(by)
-    quartiles = settle(
-        exact_quantiles(df, column, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by), "quartiles"
-    )
     x, length = F.col("_x"), F.col("q3") - F.col("q1")
     rows = df.select(*by, F.col(column).cast("double").alias("_x")).where(x.isNotNull() & ~F.isnan(x))
+    rows = settle(rows, "values")
+    quartiles = exact_quantiles(rows, "_x", {"q1": 0.25, "median": 0.5, "q3": 0.75}, by, written=True)
+    quartiles = settle(quartiles, "quartiles")
     return (
         attach(rows, quartiles, by)
         .groupBy(*by, "q1", "median", "q3")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from assay.functions.dates import month_label
 from assay.operators.ordering import sample_n
 from assay.operators.quantiles import exact_quantiles
-from assay.session import attach, names
+from assay.session import attach, names, settle
 
 
 def residuals(df: DataFrame, actual: str, predicted: str = "prediction") -> DataFrame:
@@ -66,13 +66,26 @@ def error_by_month(df: DataFrame, date: str) -> DataFrame:
     return error_by(df.withColumn("month", month_label(date)), "month").orderBy("month")
 
 
-def residual_summary(df: DataFrame) -> DataFrame:
-    """One row: mean and sample deviation of the residual, median and 95th percentile of its size."""
-    moments = df.agg(
+def residual_summary(df: DataFrame, by=None) -> DataFrame:
+    """One row: mean and sample deviation of the residual, median and 95th percentile of its size.
+
+    For each column of `by` also the groups with the highest and the lowest MAPE, ties by name.
+    """
+    by = names(by)
+    rows = settle(df.select(*by, "residual", "abs_error", "abs_pct_error"), "residuals")
+    sizes = exact_quantiles(rows, "abs_error", {"median_abs_error": 0.5, "p95_abs_error": 0.95}, written=True)
+    moments = rows.agg(
         F.avg("residual").alias("mean_residual"), F.stddev_samp("residual").alias("std_residual")
     )
-    sizes = exact_quantiles(df, "abs_error", {"median_abs_error": 0.5, "p95_abs_error": 0.95})
-    return attach(moments, sizes)
+    out = attach(moments, settle(sizes, "sizes"))
+    for column in by:
+        groups = error_by(rows, column).where(F.col("mape").isNotNull() & F.col(column).isNotNull())
+        ends = groups.agg(
+            F.min_by(column, F.struct(-F.col("mape"), column)).alias(f"hardest_{column}"),
+            F.min_by(column, F.struct("mape", column)).alias(f"easiest_{column}"),
+        )
+        out = attach(out, settle(ends, "ends"))
+    return out
 
 
 def sample_predictions(df: DataFrame, key: str, columns, actual: str, n: int = 10) -> DataFrame:

@@ -109,12 +109,14 @@ def exact_quantiles(
     discrete: bool = False,
     leaf_rows: int = LEAF_ROWS,
     bins: int = BINS,
+    written: bool = False,
 ) -> DataFrame:
     """One row per group with a column per named quantile, exact at any size.
 
     The range that holds a wanted rank is cut into bins by counting, again and again, until each
-    range holds few rows or one value. Every round reads the one column and shuffles only bin
-    counts; no task ever holds a group. Bins are even and logarithmic by turns, so a few rounds
+    range holds few rows or one value. The groups and the column are written once, unless `df` is
+    `written` already, so that rounds do not repeat the work before. Rounds shuffle bin counts, the last one
+    the distinct values of the small ranges that are left; no task ever holds a group. Bins are even and logarithmic by turns, so a few rounds
     suffice also when values differ by many orders of size. Ranges of a round go through a small written table, which
     the planner broadcasts by its real size. Nulls and NaN do not count.
 
@@ -123,6 +125,8 @@ def exact_quantiles(
     by = names(by)
     rows = df.select(*by, F.col(column).cast("double").alias("_x"))
     rows = rows.where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    if not written:
+        rows = settle(rows, "values")
 
     span = rows.groupBy(*by).agg(
         F.count("*").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")
@@ -181,5 +185,6 @@ def group_median(df: DataFrame, by, column: str, out: str = "median", accuracy:
     by = names(by)
     if accuracy is not None:
         return df.groupBy(*by).agg(F.percentile_approx(column, 0.5, accuracy).alias(out))
-    medians = settle(exact_quantiles(df, column, {out: 0.5}, by, discrete=True), "medians")
-    return attach(df.select(*by).distinct(), medians, by) if by else medians
+    values = settle(df.select(*by, column), "values")
+    medians = settle(exact_quantiles(values, column, {out: 0.5}, by, discrete=True, written=True), "medians")
+    return attach(values.select(*by).distinct(), medians, by) if by else medians

@@ -143,7 +143,7 @@ def min_by_group(t):
 )
 def quantiles(t):
     probs = {"p05": 0.05, "q1": 0.25, "q3": 0.75, "p95": 0.95}
-    return exact_quantiles(t.table("lineitem"), "l_extendedprice", probs)
+    return exact_quantiles(t.table("lineitem"), "l_extendedprice", probs, written=True)
 
 
 @query(
@@ -425,11 +425,15 @@ def error_by_month(t):
 @query(
     "residual_summary",
     f"""with {RESIDUALS} select {r6('avg(residual)', 'mean_residual')}, {r6('stddev_samp(residual)', 'std_residual')},
-     {r6('quantile_cont(abs_error, 0.5)', 'median_abs_error')}, {r6('quantile_cont(abs_error, 0.95)', 'p95_abs_error')} from res""",
+     {r6('quantile_cont(abs_error, 0.5)', 'median_abs_error')}, {r6('quantile_cont(abs_error, 0.95)', 'p95_abs_error')},
+     """ + ", ".join(
+        f"(select {c} from res group by {c} order by avg(abs_pct_error) {way}, {c} limit 1) as {end}_{c}"
+        for c in ("town", "flat_type") for end, way in (("hardest", "desc"), ("easiest", "asc"))
+    ) + " from res",
     "deals",
 )
 def residual_summary(t):
-    return E.residual_summary(_residuals(t))
+    return E.residual_summary(_residuals(t), ["town", "flat_type"])
 
 
 @query(

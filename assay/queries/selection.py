@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from assay.operators import ordering as O
 from assay.operators import sets as S
-from assay.operators.aggregates import corr_with, top_groups
+from assay.operators.aggregates import corr_with
 from assay.operators.errors import residuals, sample_predictions
 from assay.operators.outliers import flag_iqr, flag_zscore
 from assay.operators.periods import growth, rolling_mean
-from assay.operators.quantiles import group_median
+from assay.operators.quantiles import exact_quantiles, group_median
 from assay.queries.registry import query, r6
+from assay.session import settle
 
 # A key's place among 16 ** 15, as `ordering.place_of` has it.
 PLACE = "('0x' || substr(md5(concat('42:', {0})), 1, 15))::bigint"
@@ -88,9 +89,9 @@ def order_by(t):
     "deals",
 )
 def top_k_groups(t):
-    rows = t.role("deals")
-    high = top_groups(rows, "town", "resale_price", 10).withColumn("side", F.lit("high"))
-    return high.union(top_groups(rows, "town", "resale_price", 10, True).withColumn("side", F.lit("low")))
+    medians = settle(exact_quantiles(t.role("deals"), "resale_price", {"median": 0.5}, "town"), "medians")
+    high = O.top_k(medians, "median", 10, "town").withColumn("side", F.lit("high"))
+    return high.union(O.top_k(medians, "median", 10, "town", True).withColumn("side", F.lit("low")))
 
 
 @query("limit_n", "select count(*) as n from (select * from lineitem limit 3)")

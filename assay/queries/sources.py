@@ -8,7 +8,7 @@ from assay.session import scratch_path
 from assay.sources.files import (
     ingest, materialise, parse_csv_lines, read_csv, tag_source, write_table,
 )
-from assay.sources.nested import geojson_points, html_attributes
+from assay.sources.nested import geojson_points, html_attributes, read_geojson_lines
 from assay.sources.records import Rule, split_valid
 
 
@@ -61,8 +61,9 @@ def csv_typed_scan(t):
 def csv_lines_scan(t):
     amount = F.when(F.col("s_suppkey") % 7 == 0, "bad").otherwise(_money("s_acctbal"))
     line = F.concat(F.col("s_suppkey").cast("string"), F.lit(',"'), "s_name", F.lit(', Ltd",'), amount)
-    lines = t.table("supplier").select(line.alias("value"))
-    return parse_csv_lines(lines, "id bigint, name string, balance double")
+    lines = t.table("supplier").select(line.alias("value"), F.lit(1).alias("place"))
+    headers = t.table("nation").select(F.lit("id,name,balance").alias("value"), F.lit(0).alias("place"))
+    return parse_csv_lines(headers.union(lines), "id bigint, name string, balance double", position="place")
 
 
 GEOJSON = """concat('{{"type":"FeatureCollection","features":[{{"properties":{{"NAME":"',
@@ -78,22 +79,26 @@ GEOJSON = """concat('{{"type":"FeatureCollection","features":[{{"properties":{{"
 
 @query(
     "geojson_points",
-    """select c_custkey,
+    """select form, c_custkey,
      cast(cast(1.22e0 + (c_custkey % 1000) * 0.0002e0 as decimal(9,4)) as double) as lat,
      cast(cast(103.6e0 + (c_custkey % 1000) * 0.0004e0 as decimal(9,4)) as double) as lon,
      c_name as name, case when c_custkey % 13 <> 0 then c_custkey % 50 end as stalls,
      case when c_custkey % 3 <> 0 then lpad(cast(c_custkey as varchar), 6, '0') end as postal_code
-     from customer where c_custkey % 11 <> 0 and c_custkey % 5 <> 0""",
+     from customer, (values ('collection'), ('lines')) forms(form) where c_custkey % 11 <> 0 and c_custkey % 5 <> 0""",
 )
 def geojson_points_query(t):
     docs = t.spark.sql(f"select c_custkey, {GEOJSON} as doc from {{c}}", c=t.table("customer"))
     properties = {
         "NAME": "name", "NUMBER_OF_COOKED_FOOD_STALLS": "stalls", "ADDRESSPOSTALCODE": "postal_code",
     }
-    return geojson_points(
-        docs, "doc", properties, required=["NAME"], where={"STATUS": "Existing"}, keep=["c_custkey"],
-        integers=["NUMBER_OF_COOKED_FOOD_STALLS"],
-    )
+    wanted = {"required": ["NAME"], "where": {"STATUS": "Existing"}, "integers": ["NUMBER_OF_COOKED_FOOD_STALLS"]}
+    whole = geojson_points(docs, "doc", properties, keep=["c_custkey"], **wanted)
+    path = scratch_path(t.spark, "geojson")
+    docs.select(F.get_json_object("doc", "$.features[0]").alias("value")).write.text(path)
+    lines = geojson_points(read_geojson_lines(t.spark, path), "value", properties, single=True, **wanted)
+    lines = lines.withColumn("c_custkey", F.regexp_extract("name", r"\d+", 0).cast("bigint"))
+    parts = [df.withColumn("form", F.lit(form)) for df, form in ((whole, "collection"), (lines, "lines"))]
+    return parts[0].unionByName(parts[1])
 
 
 @query(

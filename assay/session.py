@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,19 +30,42 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     Only a local session may go without that setting; it then gets a temporary folder of its own,
-    because on a cluster such a folder would not be seen by other machines.
+    because on a cluster such a folder would not be seen by other machines. The session's own checkpoint
+    folder is used but never set.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="assay-")
-        spark.sparkContext.setCheckpointDir(root)
+        name = spark.sparkContext.applicationId
+        root = _LOCAL_ROOTS.get(name) or _LOCAL_ROOTS.setdefault(name, tempfile.mkdtemp(prefix="assay-"))
     return root.rstrip("/")
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+_OPEN_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/assay-{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/assay-{label}-{uuid.uuid4().hex}"
+    if _OPEN_SCOPES:
+        _OPEN_SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the tables written inside when the block ends, and nothing else in their folder.
+
+    A result that is to outlive the block must be written or collected inside it.
+    """
+    _OPEN_SCOPES.append([])
+    try:
+        yield
+    finally:
+        gateway = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for path in map(gateway, _OPEN_SCOPES.pop()):
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame, label: str = "table") -> DataFrame:

@@ -25,8 +25,14 @@ def read_csv(spark: SparkSession, path, schema: T.StructType | str | None = None
     return reader.csv(path)
 
 
-def parse_csv_lines(df: DataFrame, schema: str, line: str = "value") -> DataFrame:
-    """Parse a column of CSV lines (a downloaded payload) by a DDL schema, one row per line."""
+def parse_csv_lines(df: DataFrame, schema: str, line: str = "value", position: str | None = None) -> DataFrame:
+    """Parse a column of CSV lines (downloaded payloads) by a DDL schema, one row per line.
+
+    `position` names the column with a line's place in its payload; line 0 is then the payload's header
+    and left out. Without it no line is a header.
+    """
+    if position is not None:
+        df = df.where(F.col(position) > 0)
     return df.select(F.from_csv(col(line), schema, {"mode": "PERMISSIVE"}).alias("_r")).select("_r.*")
 
 

@@ -8,17 +8,23 @@ from pyspark.sql import functions as F
 from assay.functions.text import blank_to_null, not_blank
 from assay.session import col
 
-FEATURES = (
-    "features array<struct<properties: map<string,string>,"
-    " geometry: struct<coordinates: array<double>>>>"
-)
+FEATURE = "properties map<string,string>, geometry struct<coordinates: array<double>>"
+FEATURES = f"features array<struct<{FEATURE.replace('s map', 's: map').replace('y struct', 'y: struct')}>>"
 
 
 def read_geojson(spark: SparkSession, path) -> DataFrame:
-    """One row per file; a folder of many files spreads over the cluster file by file."""
+    """One row per file; a folder of many files spreads over the cluster file by file.
+
+    Each file is one task's row, so large collections should come as one feature per line instead.
+    """
     return spark.read.text(path, wholetext=True)
 
 
+def read_geojson_lines(spark: SparkSession, path) -> DataFrame:
+    """One row per line, each a feature; files of any size are read in parts."""
+    return spark.read.text(path)
+
+
 def geojson_points(
     df: DataFrame,
     json: str,
@@ -27,8 +33,9 @@ def geojson_points(
     where: dict[str, str] | None = None,
     keep=(),
     integers=(),
+    single: bool = False,
 ) -> DataFrame:
-    """Explode feature collections to rows of `lat`, `lon` and the chosen properties.
+    """Explode feature collections, or with `single` read one feature per row, to rows of `lat`, `lon` and the chosen properties.
 
     `properties` maps property names to output names. A feature is skipped when it has fewer than
     two coordinates, when a required property is empty, or when a property differs from its wanted
@@ -40,7 +47,8 @@ def geojson_points(
     position = feature["geometry"]["coordinates"]
     lon, lat = F.try_element_at(position, F.lit(1)), F.try_element_at(position, F.lit(2))
 
-    rows = df.select(*keep, F.explode(F.from_json(col(json), FEATURES)["features"]).alias("_f"))
+    parsed = F.from_json(col(json), FEATURE if single else FEATURES)
+    rows = df.select(*keep, (parsed if single else F.explode(parsed["features"])).alias("_f"))
     rows = rows.where(lat.isNotNull() & lon.isNotNull())
     for name in required:
         rows = rows.where(not_blank(prop[name]))

@@ -121,3 +121,26 @@ def test_scratch_needs_a_shared_folder_off_local(spark, monkeypatch):
 
     with pytest.raises(ValueError):
         S.scratch_root(Session())
+
+
+def test_scratch_tables_go_with_their_scope(spark):
+    from pathlib import Path
+
+    from assay.session import scratch_path, scratch_scope, settle
+
+    keep = settle(spark.range(3), "outside")
+    with scratch_scope(spark):
+        path = Path(scratch_path(spark, "inside"))
+        spark.range(5).write.parquet(str(path))
+        inside = settle(spark.range(7), "inside")
+        assert inside.count() == 7 and path.exists()
+        files = [Path(f.removeprefix("file://")) for f in inside.inputFiles()]
+    assert not path.exists() and not any(f.exists() for f in files)
+    assert keep.count() == 3
+
+
+def test_header_lines_of_payloads(frame):
+    from assay.sources.files import parse_csv_lines
+
+    lines = frame([("id,name", 0), ("1,a", 1), ("id,name", 0), ("2,b", 1)], "value string, place int")
+    assert [tuple(r) for r in parse_csv_lines(lines, "id int, name string", position="place").collect()] == [(1, "a"), (2, "b")]
