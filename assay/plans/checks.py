@@ -94,6 +94,14 @@ def proceed(gate_rows: DataFrame) -> bool:
     return gate_rows.where(~F.col("passed")).isEmpty()
 
 
+def require(df: DataFrame, expectations: list[Expectation], what: str = "table") -> DataFrame:
+    """The table itself if every rule passes; else an error that names the broken ones."""
+    broken = [r["rule"] for r in gate(df, expectations).where(~F.col("passed")).collect()]
+    if broken:
+        raise ValueError(f"{what} does not reach: {', '.join(broken)}")
+    return df
+
+
 @dataclass(frozen=True)
 class ColumnRules:
     """Which columns must be free of what."""

@@ -15,7 +15,7 @@ from assay.operators.columns import align_schema, derive_key, drop_blank, drop_m
 from assay.operators.lookups import best_candidate, lookup_join, merge_series
 from assay.operators.reshape import melt_years, pick_series
 from assay.operators.sets import dedupe_keys, dedupe_rows, union_all
-from assay.sources.files import ingest
+from assay.sources.files import ingest, parse_csv_lines
 from assay.sources.nested import geojson_points, html_attributes
 from assay.sources.records import Rule, split_valid
 
@@ -138,6 +138,14 @@ def transactions(extracts: dict[str, DataFrame]) -> DataFrame:
     return union_all([align_schema(df, TRANSACTION_SCHEMA, label) for label, df in extracts.items()])
 
 
+def payload_transactions(payloads: dict[str, tuple[DataFrame, str]], line: str = "value", position: str | None = None) -> DataFrame:
+    """Transactions from downloaded CSV payloads: (lines, DDL schema) per label, first lines being headers.
+
+    See `parse_csv_lines` for `position`.
+    """
+    return transactions({label: parse_csv_lines(lines, schema, line, position) for label, (lines, schema) in payloads.items()})
+
+
 def with_address(df: DataFrame) -> DataFrame:
     return derive_key(df, ["block", "street_name"], "full_address")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -207,7 +208,7 @@ class Vectors:
 def vectorise(train: DataFrame, test: DataFrame, key: str, label: str, keep=()) -> Vectors:
     """Encode on the training rows only, multiply indices, drop collinear columns, assemble.
 
-    Both sets are spread evenly by row key and written once, because training reads them many times.
+    Both sets are written once, because training reads them many times.
     """
     train, test = prepare(train), prepare(test)
     categories = [c for c in CATEGORICALS if c in train.columns]
@@ -220,15 +221,18 @@ def vectorise(train: DataFrame, test: DataFrame, key: str, label: str, keep=())
     inputs = [c for c in [*NUMERIC_INPUTS, *[f"{c}_index" for c in categories]] if c in train.columns]
     columns = list(dict.fromkeys([key, "features", label, *keep]))
     return Vectors(
-        settle(assemble(train, inputs).select(*columns).repartition(key), "train"),
-        settle(assemble(test, inputs).select(*columns).repartition(key), "test"),
+        settle(assemble(train, inputs).select(*columns), "train"),
+        settle(assemble(test, inputs).select(*columns), "test"),
         inputs,
     )
 
 
 @dataclass
 class Comparison:
+    """Test metrics with the chosen parameters, every combination tried, and the fitted models."""
+
     metrics: DataFrame
+    combinations: DataFrame
     models: dict[str, Model]
     inputs: list[str]
     test: DataFrame
@@ -236,6 +240,11 @@ class Comparison:
     def best(self) -> str:
         return rank_models(self.metrics).first()["model"]
 
+    def importances(self) -> DataFrame:
+        """(model, feature, importance, coefficient) of all models."""
+        tables = [importances(m, self.inputs, self.test).withColumn("model", F.lit(name)) for name, m in self.models.items()]
+        return reduce(DataFrame.union, tables).select("model", "feature", "importance", "coefficient")
+
     def predictions(self, name: str) -> DataFrame:
         return self.models[name].transform(self.test)
 
@@ -251,24 +260,25 @@ def train_and_compare(
     parallelism: int = 4,
 ) -> Comparison:
     """Split by key digest, encode, cross-validate each model and measure it on the test rows."""
-    train, test = split_by_key(df, key, fraction)
+    train, test = split_by_key(settle(df, "compared"), key, fraction)
     vectors = vectorise(train, test, key, label, keep)
-    models, rows = {}, []
+    models, tables, rows = {}, [], []
     for model in specs:
         models[model.name], combos = cross_validate(vectors.train, model, key, label, folds, parallelism)
+        tables.append(combos)
+        best = combos.orderBy("rmse", "combo").first()
         scored = models[model.name].transform(vectors.test)
         test_row = regression_metrics(scored, label).head().asDict()
-        rows.append((model.name, combos.agg(F.min("rmse")).head()[0],
-                     *[test_row[m] for m in ("rmse", "mae", "r2", "mape")]))
-    schema = "model string, cv_rmse double, rmse double, mae double, r2 double, mape double"
+        rows.append((model.name, best["params"], best["rmse"], *[test_row[m] for m in ("rmse", "mae", "r2", "mape")]))
+    schema = "model string, params string, cv_rmse double, rmse double, mae double, r2 double, mape double"
     metrics = df.sparkSession.createDataFrame(rows, schema)
-    return Comparison(metrics, models, vectors.inputs, vectors.test)
+    return Comparison(metrics, reduce(DataFrame.union, tables), models, vectors.inputs, vectors.test)
 
 
 def residual_report(predictions: DataFrame, actual: str, by, bins: int = 80, min_n: int = 50) -> dict[str, DataFrame]:
     """Tables of a residual study: summary, histogram, and errors per group of each given column."""
     rows = residuals(predictions, actual)
-    report = {"summary": residual_summary(rows), "histogram": histogram(rows, "residual", bins)}
+    report = {"summary": residual_summary(rows, by), "histogram": histogram(rows, "residual", bins)}
     for i, column in enumerate(names(by)):
         report[f"by_{column}"] = error_by(rows, column, min_n if i == 0 else None).orderBy(
             F.col("mape").desc(), column

@@ -10,7 +10,7 @@ from assay.operators.ordering import bounds
 from assay.operators.quantiles import exact_quantiles, group_median
 from assay.plans.checks import ColumnRules, violations
 from assay.queries.registry import query, r6
-from assay.session import attach
+from assay.session import attach, settle
 
 NUMBERS = ["resale_price", "floor_area_sqm", "remaining_lease_years", "storey_midpoint", "transaction_year"]
 RESIDUALS = """res as (select txn_id, town, flat_type, month, resale_price, prediction, resale_price - prediction as residual,
@@ -58,15 +58,20 @@ def _profile_sql(column, kind):
      count(distinct {column}) as n_distinct, {', '.join(edges)}, {', '.join(shares)} from txn"""
 
 
-PROFILED = {
-    "txn_id": "bigint", "month": "string", "flat_type": "string", "storey_range": "string",
-    "remaining_lease": "string", "latitude": "double",
-}
+PROFILED = {c: {"txn_id": "bigint", "latitude": "double", "longitude": "double"}.get(c, "string") for c in TXN_COLUMNS}
 
 
-@query("profile_table", " union all ".join(_profile_sql(c, k) for c, k in PROFILED.items()), "txn")
+@query(
+    "profile_table",
+    "select *, true as sketch_is_near from (" + " union all ".join(_profile_sql(c, k) for c, k in PROFILED.items()) + ")",
+    "txn",
+)
 def profile_table(t):
-    return A.profile(t.role("txn").select(*PROFILED), approx=False)
+    rows = settle(t.role("txn").select(*PROFILED), "txn")
+    exact, sketched = A.profile(rows, approx=False), A.profile(rows, relative_error=0.02)
+    near = sketched.select(F.col("column").alias("of"), F.col("n_distinct").alias("about"))
+    close = F.abs(F.col("about") - F.col("n_distinct")) <= 0.1 * F.col("n_distinct")
+    return exact.join(near, F.col("column") == F.col("of")).withColumn("sketch_is_near", close).drop("of", "about")
 
 
 SKETCHED = ["txn_id", "block", "street_name", "town", "resale_price"]

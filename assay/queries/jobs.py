@@ -68,6 +68,9 @@ def price_trend(t):
       count(distinct transaction_year) as years, {r6('count(latitude) * 100e0 / count(*)', 'pct')} from deals)
      select 'rows' as rule, cast(n as double) as actual, 100e0 as threshold, n >= 100 as passed from g
      union all select 'blank_names', cast(blank as double), 0e0, blank = 0 from g
+     union all select 'rows', cast(n as double), 400e0, n >= 400 from g
+     union all select 'rows', cast(n as double), 150e0, n >= 150 from g
+     union all select 'quarters', cast(n as double), 100e0, n >= 100 from g
      union all select 'stations', cast(towns as double), 100e0, towns >= 100 from g
      union all select 'exits', cast(n as double), 300e0, n >= 300 from g
      union all select 'geocoded_pct', pct, 80e0, pct >= 80 from g
@@ -76,8 +79,8 @@ def price_trend(t):
 )
 def quality_gate(t):
     rules = [
-        *K.hawker_expectations("flat_model"), *K.station_expectations("town"), *K.school_expectations()[1:],
-        *K.demographics_expectations("transaction_year"),
+        *K.hawker_expectations("flat_model"), *K.supermarket_expectations(), *K.station_expectations("town"),
+        *K.school_expectations(), *K.demographics_expectations("transaction_year"), *K.index_expectations(),
     ]
     return K.gate(t.role("deals"), rules)
 

@@ -1,6 +1,9 @@
 """Queries of encoding, assembly and regression models. Grids are small here; defaults are full."""
 
+from functools import reduce
+
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assay.operators.errors import regression_metrics
@@ -10,7 +13,7 @@ from assay.queries.aggregates import METRICS, RESIDUALS
 from assay.queries.jobs import engineered
 from assay.queries.registry import query, r6
 from assay.queries.selection import within_share
-from assay.session import attach, settle
+from assay.session import settle
 
 RANKED = """ranked as (select {0}, row_number() over (order by count(*) desc, {0}) - 1 as i, (select count(distinct {0}) from {1}) as n
  from {1} where {0} is not null group by {0})"""
@@ -183,22 +186,40 @@ def train_compare(t):
     return M.rank_models(M.train_and_compare(_features(t), specs, "txn_id", folds=2).metrics)
 
 
+def _group_sql(column, least=0):
+    return " union all ".join(
+        f"select 'by_{column}' as part, {column} as name, '{label}' as metric, {r6(f'cast({value} as double)', 'value')} from res group by {column} having count(*) >= {least}"
+        for label, value in (("mean_residual", "avg(residual)"), ("mean_abs_error", "avg(abs_error)"), ("mape", "avg(abs_pct_error)"), ("n", "count(*)"))
+    )
+
+
 @query(
     "residual_analysis",
-    f"""with {RESIDUALS}, s as (select avg(residual) as a, stddev_samp(residual) as b, quantile_cont(abs_error, 0.5) as c,
-      quantile_cont(abs_error, 0.95) as d from res)
-     select town, {r6('avg(residual)', 'mean_residual')}, {r6('avg(abs_error)', 'mean_abs_error')}, {r6('avg(abs_pct_error)', 'mape')},
-     count(*) as n, {r6('a', 'overall_mean')}, {r6('b', 'overall_std')}, {r6('c', 'median_abs_error')}, {r6('d', 'p95_abs_error')}
-     from res, s group by town, a, b, c, d having count(*) >= 50""",
+    f"""with {RESIDUALS}, e as (select min(residual) as lo, (max(residual) - min(residual)) / 80e0 as w from res),
+     b as (select least(cast(floor((residual - lo) / w) as int), 79) as bin from res, e)
+     select 'summary' as part, 'all' as name, 'mean_residual' as metric, {r6('avg(residual)', 'value')} from res
+     union all select 'summary', 'all', 'std_residual', {r6('stddev_samp(residual)', 'value')} from res
+     union all select 'summary', 'all', 'median_abs_error', {r6('quantile_cont(abs_error, 0.5)', 'value')} from res
+     union all select 'summary', 'all', 'p95_abs_error', {r6('quantile_cont(abs_error, 0.95)', 'value')} from res
+     union all select 'histogram', cast(bin as varchar), 'n', cast(count(*) as double) from b group by bin
+     union all {_group_sql('town', 50)} union all {_group_sql('flat_type')}""",
     "deals",
 )
 def residual_analysis(t):
+    """All tables of the residual study, as (part, name, metric, value)."""
     rows = t.role("deals").where(F.col("resale_price").isNotNull())
     report = M.residual_report(rows, "resale_price", ["town", "flat_type"])
-    overall = report["summary"].withColumnsRenamed(
-        {"mean_residual": "overall_mean", "std_residual": "overall_std"}
-    )
-    return attach(report["by_town"], overall)
+    summary = report["summary"].select(
+        *[F.col(c).alias(c) for c in ("mean_residual", "std_residual", "median_abs_error", "p95_abs_error")]
+    ).unpivot([], None, "metric", "value")
+    parts = [summary.select(F.lit("summary").alias("part"), F.lit("all").alias("name"), "metric", "value")]
+    bins = report["histogram"].select(F.lit("histogram"), F.col("bin").cast("string"), F.lit("n"), F.col("n").cast("double"))
+    parts.append(bins)
+    for column in ("town", "flat_type"):
+        wide = report[f"by_{column}"].withColumn("n", F.col("n").cast("double"))
+        long = wide.unpivot([column], ["mean_residual", "mean_abs_error", "mape", "n"], "metric", "value")
+        parts.append(long.select(F.lit(f"by_{column}"), column, "metric", "value"))
+    return reduce(DataFrame.union, parts)
 
 
 @query("oot_validation")

@@ -86,3 +86,22 @@ def test_transactions_and_geocode(frame):
     assert rows(pending_keys(X.with_address(both), cache, "full_address")) == [("8 lane",)]
     found = frame([("8 lane", 1.4, 103.9, "2"), ("9 road", 0.0, 0.0, "3")], "full_address string, latitude double, longitude double, postal_code string")
     assert X.geocode(both, X.refreshed_cache(cache.limit(1), found))[0].count() == 2
+
+
+def test_payloads_to_one_table(frame):
+    from assay.plans.extracts import payload_transactions
+
+    lines = frame([("month,town,price", 0), ("2017-01,A,1.5", 1), ("month,town,price", 0), ("2018-02,B,x", 1)], "value string, place int")
+    out = payload_transactions({"new": (lines, "month string, town string, resale_price double")}, position="place")
+    assert sorted((r["month"], r["town"], r["resale_price"]) for r in out.collect()) == [("2017-01", "A", 1.5), ("2018-02", "B", None)]
+
+
+def test_gates_decide(frame):
+    import pytest
+
+    from assay.plans.checks import demographics_expectations, require
+
+    few, many = frame([(2000,)], "year int"), frame([(y,) for y in range(2000, 2025)], "year int")
+    assert require(many, demographics_expectations()).count() == 25
+    with pytest.raises(ValueError, match="years"):
+        require(few, demographics_expectations())

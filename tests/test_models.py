@@ -46,6 +46,11 @@ def test_train_compare_rank_and_importance(deals):
     ranked = M.rank_models(result.metrics).collect()
     assert [r["place"] for r in ranked] == [1, 2] and ranked[0]["rmse"] <= ranked[1]["rmse"]
     assert result.best() == "linear_regression" and ranked[0]["r2"] > 0.95
+    assert ranked[0]["params"] in [r["params"] for r in result.combinations.collect()]
+    assert result.combinations.count() == 3
+    assert {r["model"]: r["n"] for r in result.importances().groupBy("model").agg(F.count("*").alias("n")).collect()} == {
+        name: len(result.inputs) for name in result.models
+    }
     for model in result.models.values():
         parts = M.importances(model, result.inputs, deals).collect()
         assert sum(r["importance"] for r in parts) == pytest.approx(1.0)
