@@ -1,9 +1,10 @@
-"""Queries of encoding, assembly and regression models. Grids are small here; defaults are full."""
+"""Queries of encoding, assembly and regression models."""
 
+import math
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from assay.operators.errors import regression_metrics
@@ -127,46 +128,90 @@ def _vectors(t):
     return M.vectorise(train, test, "txn_id", "resale_price", ["town"])
 
 
-SMALL = {
-    "linear_regression": {"regParam": [0.01, 1.0], "elasticNetParam": [0.0]},
-    "random_forest": {"numTrees": [5], "maxDepth": [3, 5]},
-    "gbt": {"maxIter": [5], "maxDepth": [3], "stepSize": [0.1, 0.3]},
+#: The grids of a comparison: the linear one is whole, of the tree models some of the default combinations.
+COMPARED = {
+    "linear_regression": M.GRIDS["linear_regression"],
+    "random_forest": {"numTrees": [20], "maxDepth": [5]},
+    "gbt": {"maxIter": [10], "maxDepth": [3], "stepSize": [0.1]},
 }
+COMPLETE = "resale_price is not null and floor_area_sqm is not null and storey_midpoint is not null"
+LABELS = f"""bounds as (select min(resale_price) as lo, max(resale_price) as hi from deals
+ where {COMPLETE} and {within_share('txn_id', 0.8)}),
+ test as (select * from deals where {COMPLETE} and not {within_share('txn_id', 0.8)})"""
 
 
-def _fitted(t, name):
-    """Test rows scored by one fit with the first value of each grid entry."""
-    vectors = _vectors(t)
-    model = M.spec(name, grid={p: v[:1] for p, v in SMALL[name].items()})
-    scored = model.estimator.fit(vectors.train, model.param_maps()[0]).transform(vectors.test)
-    return scored.select("txn_id", "resale_price", "prediction")
+def _first_fit(name, vectors):
+    """The family's model with the first value of each entry of its default grid."""
+    model = M.spec(name)
+    return model.estimator.fit(vectors.train, model.param_maps()[0])
 
 
-@query("random_forest")
+@query(
+    "random_forest",
+    f"with {LABELS} select txn_id, {r6('resale_price', 'resale_price')}, true as in_range from test",
+    "deals",
+)
 def random_forest(t):
-    return _fitted(t, "random_forest")
+    """Test rows; a forest predicts means of training labels, so within their range."""
+    vectors = _vectors(t)
+    low, high = vectors.train.agg(F.min("resale_price"), F.max("resale_price")).first()
+    scored = _first_fit("random_forest", vectors).transform(vectors.test)
+    return scored.select("txn_id", "resale_price", F.col("prediction").between(low, high).alias("in_range"))
 
 
-@query("gbt")
+@query(
+    "gbt",
+    f"with {LABELS} select count(*) as n, {r6('sum(resale_price)', 'actual')}, true as beats_mean from test",
+    "deals",
+)
 def gbt(t):
-    return _fitted(t, "gbt")
+    """The scored test rows' number and labels, and whether boosting fits its training rows better than their mean.
+
+    Labels of the given tables do not depend on the inputs, so nothing can be said of the test error.
+    """
+    vectors = _vectors(t)
+    y = F.col("resale_price")
+    mean = vectors.train.agg(F.avg(y)).first()[0]
+    model = _first_fit("gbt", vectors)
+    errors = [F.sum((y - guess) ** 2) for guess in (F.col("prediction"), F.lit(mean))]
+    better = model.transform(vectors.train).agg((errors[0] < errors[1]).alias("better")).scalar()
+    scored = model.transform(vectors.test).where(F.col("prediction").isNotNull())
+    return scored.agg(F.count("*").alias("n"), F.sum(y).alias("actual")).withColumn("beats_mean", better)
 
 
-@query("cross_validate")
+GRID_ROWS = [
+    (i, f"elasticNetParam={e}, regParam={r}")
+    for i, (r, e) in enumerate((r, e) for r in M.GRIDS["linear_regression"]["regParam"] for e in M.GRIDS["linear_regression"]["elasticNetParam"])
+]
+
+
+@query(
+    "cross_validate",
+    "select 'linear_regression' as model, params, true as measured, 1 as n_least from (values "
+    + ", ".join(f"('{params}')" for _, params in GRID_ROWS) + ") as grid(params)",
+)
 def cross_validate(t):
-    model = M.spec("linear_regression", grid=SMALL["linear_regression"])
-    return M.cross_validate(_vectors(t).train, model, "txn_id")[1]
+    """Every combination of the linear grid in three folds; one of them is the least."""
+    combos = settle(M.cross_validate(_vectors(t).train, M.spec("linear_regression"), "txn_id")[1], "combos")
+    least = combos.agg(F.min(F.struct("rmse", "combo")).alias("m")).select("m.combo")
+    chosen = combos.join(least, "combo", "left_semi").agg(F.count("*").cast("int").alias("n_least")).scalar()
+    return combos.select("model", "params", (F.col("rmse") > 0).alias("measured"), chosen.alias("n_least"))
 
 
-@query("feature_importance")
+@query(
+    "feature_importance",
+    "select model, 1e0 as total, n_inputs, true as in_order from (values "
+    + ", ".join(f"('{m}')" for m in COMPARED) + ") as models(model), (select 27 as n_inputs)",
+)
 def feature_importance(t):
+    """All three families: the importances of the inputs sum to one and come in order."""
     vectors = _vectors(t)
     parts = []
-    for name in ("linear_regression", "random_forest"):
-        grid = {p: v[:1] for p, v in SMALL[name].items()}
-        best, _ = M.cross_validate(vectors.train, M.spec(name, grid=grid), "txn_id", folds=2)
-        parts.append(M.importances(best, vectors.inputs, vectors.train).withColumn("model", F.lit(name)))
-    return parts[0].union(parts[1])
+    for name in COMPARED:
+        table = M.importances(_first_fit(name, vectors), vectors.inputs, vectors.train)
+        ranked = [r["importance"] for r in table.collect()]
+        parts.append((name, round(sum(ranked), 6), len(ranked), ranked == sorted(ranked, reverse=True)))
+    return t.spark.createDataFrame(parts, "model string, total double, n_inputs int, in_order boolean")
 
 
 @query(
@@ -180,10 +225,30 @@ def model_ranking(t):
     return M.rank_models(scores.withColumnRenamed("flat_type", "model"))
 
 
-@query("train_compare")
+COMPARED_ROWS = ", ".join(f"('{m}', {math.prod(map(len, g.values()))})" for m, g in COMPARED.items())
+
+
+@query(
+    "train_compare",
+    f"""select model, n_combinations, true as chosen_is_least, true as tested, true as placed
+     from (values {COMPARED_ROWS}) as models(model, n_combinations)""",
+)
 def train_compare(t):
-    specs = [M.spec(name, grid=grid) for name, grid in SMALL.items()]
-    return M.rank_models(M.train_and_compare(_features(t), specs, "txn_id", folds=2).metrics)
+    """Per family: combinations tried, whether the least was chosen, and its place by test error."""
+    specs = [M.spec(name, grid=grid) for name, grid in COMPARED.items()]
+    result = M.train_and_compare(_features(t), specs, "txn_id")
+    tried = result.combinations.groupBy("model").agg(
+        F.count("*").cast("int").alias("n_combinations"), F.min("rmse").alias("least"), F.min_by("params", F.struct("rmse", "combo")).alias("best")
+    )
+    ranked = M.rank_models(result.metrics)
+    before = F.lag("rmse", 1, 0.0).over(Window.partitionBy(F.lit(0)).orderBy("place"))
+    return ranked.withColumn("before", before).join(tried, "model").select(
+        "model",
+        "n_combinations",
+        ((F.col("cv_rmse") == F.col("least")) & (F.col("params") == F.col("best"))).alias("chosen_is_least"),
+        ((F.col("rmse") > 0) & (F.col("mae") > 0) & F.col("r2").isNotNull()).alias("tested"),
+        (F.col("rmse") >= F.col("before")).alias("placed"),
+    )
 
 
 def _group_sql(column, least=0):
@@ -222,10 +287,25 @@ def residual_analysis(t):
     return reduce(DataFrame.union, parts)
 
 
-@query("oot_validation")
+@query(
+    "oot_validation",
+    f"""with c as (select cast(date_trunc('quarter', max(month) - interval 6 month) as date) as cutoff from deals where resale_price is not null),
+     p as (select deals.*, month < cutoff as earlier from deals, c where resale_price is not null),
+     whole as (select * from p where {COMPLETE})
+     select 'holdout' as part, (select count(*) from p where not earlier) as n, (select count(*) from whole where not earlier) as scored,
+      {r6("(select avg(case when earlier then 0e0 else 1e0 end) from p)", 'share')},
+      (select cast(count(distinct month) as int) from whole where not earlier) as months,
+      (select cast(count(distinct town) as int) from whole where not earlier) as towns, 4 as compared""",
+    "deals",
+)
 def oot_validation(t):
-    model = M.spec("linear_regression", grid={"regParam": [0.01], "elasticNetParam": [0.0]})
-    report = M.out_of_time(_features(t), model, "month", "txn_id", folds=2)
-    return report["metrics"].union(
-        report["split"].select(F.concat(F.lit("share_"), "part"), "share")
-    )
+    """The winner of a comparison on later rows, beside its metrics on the random split."""
+    rows = _features(t)
+    first = M.train_and_compare(rows, [M.spec("linear_regression")], "txn_id")
+    best = first.best()
+    chosen = M.metrics_long(first.metrics.where(F.col("model") == best))
+    report = M.out_of_time(rows, M.spec(best), "month", "txn_id", random_metrics=chosen)
+    split = {r["part"]: r for r in report["split"].collect()}["holdout"]
+    count = lambda name: report[name].count()
+    row = ("holdout", split["n"], count("predictions"), split["share"], count("by_month"), count("by_town"), count("comparison"))
+    return t.spark.createDataFrame([row], "part string, n bigint, scored bigint, share double, months int, towns int, compared int")
