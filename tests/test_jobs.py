@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from assay.operators.columns import align_schema
 from assay.plans import cleaning as C
 from assay.plans.features import (
-    FeatureConfig, Interaction, Sources, engineer, interactions, required_columns, time_features,
+    DEFAULT_INTERACTIONS, FeatureConfig, Interaction, Sources, engineer, interactions, required_columns, time_features,
 )
 from assay.plans.checks import FeatureSpec, validate_features
 from assay.queries.columns import PRICE_SCHEMA
@@ -89,7 +89,7 @@ def test_engineer_and_validate(frame):
                    "kind string, amen_lat double, amen_lon double, ip_ind string, sap_ind string, autonomous_ind string")
     index = frame([(2019, 2, "150.5")], "rpi_year int, rpi_quarter int, rpi_value string")
     years = frame([(2018, 10.0, 100.0), (2019, 12.0, 110.0)], "demo_year int, median_household_income double, total_population double")
-    config = FeatureConfig(drop=("town", "lease_commence_date", "floor_area_sqm"))
+    config = FeatureConfig(interactions=DEFAULT_INTERACTIONS, drop=("town", "lease_commence_date", "floor_area_sqm"))
     out, summary = engineer(time_features(deals), Sources(points, index, years), config)
     rows = {r["id"]: r for r in out.collect()}
     assert rows[1]["hdb_rpi"] == 150.5 and rows[2]["hdb_rpi"] == 0.0
@@ -101,3 +101,14 @@ def test_engineer_and_validate(frame):
     problems = {tuple(r) for r in validate_features(out, FeatureSpec.of(config)).collect()}
     assert problems == {("dist_nearest_auto_school", "missing", 0), ("has_autonomous_school_nearby", "missing", 0)}
     assert len(required_columns(config)) == 5 + 6 + 1 + 4
+
+
+def test_repair_of_a_configuration():
+    from assay.plans.features import repair
+
+    assert repair(FeatureConfig()) == (FeatureConfig(), [])
+    odd = FeatureConfig(distances=("mrt", "moon"), schools=(), index=False, drop=("", "town", "x"))
+    fixed, report = repair(odd)
+    assert fixed == FeatureConfig(drop=("x",))
+    assert ("distances", "unknown", "moon") in report and ("schools", "added", "ip") in report
+    assert [r for r in report if r[0] in ("index", "drop")] == [("index", "added", "index"), ("drop", "empty", ""), ("drop", "protected", "town")]
