@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -63,16 +63,11 @@ def unpack(data: bytes, width: int) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def batches(
-    step: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: pa.Schema
-) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """For `mapInArrow`: turns dicts of columns into record batches."""
-
-    def run(source):
-        for columns in step(source):
-            yield pa.RecordBatch.from_pydict(columns, schema=schema)
-
-    return run
+def single_rows(source: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """One row at a time, so that no more than one large row is held as Python objects."""
+    for batch in source:
+        for at in range(batch.num_rows):
+            yield batch.slice(at, 1).to_pylist()[0]
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assay.llm.common import cuts, pack, parts_for, ranges, text_bytes, unpack
+from assay.llm.common import cuts, pack, parts_for, single_rows, text_bytes, unpack
 from assay.llm.components import connected
 from assay.session import settle
 
@@ -205,19 +205,18 @@ def _deal_sets(sets: DataFrame, parts: int) -> DataFrame:
     """(part, chunk, data): all hashes of each chunk in order of part."""
 
     def run(source):
-        for batch in source:
-            for row in batch.to_pylist():
-                _, _, hashes = _open(row)
-                keys = np.sort(mixed(hashes))
-                bounds = cuts(keys, parts)
-                for part in np.flatnonzero(np.diff(bounds)):
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "part": pa.array([part], pa.int32()),
-                            "chunk": pa.array([row["chunk"]], pa.int64()),
-                            "data": [pack(keys[bounds[part] : bounds[part + 1]], 6)],
-                        }
-                    )
+        for row in single_rows(source):
+            _, _, hashes = _open(row)
+            keys = np.sort(mixed(hashes))
+            bounds = cuts(keys, parts)
+            for part in np.flatnonzero(np.diff(bounds)):
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "part": pa.array([part], pa.int32()),
+                        "chunk": pa.array([row["chunk"]], pa.int64()),
+                        "data": [pack(keys[bounds[part] : bounds[part + 1]], 6)],
+                    }
+                )
 
     return sets.mapInArrow(run, "part int, chunk bigint, data binary")
 
@@ -444,48 +443,55 @@ def link_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     size = text_bytes(docs)
     parts = parts_for(size * 0.35)
     rows = settle(classes(docs), "classes")
-    shared = _deal(docs.select("text"), parts, True).groupBy("part").applyInPandas(_shared, "node bigint, shared bigint")
+    shared = _deal(docs.select("text"), parts, True).repartition(parts, "part").groupBy("part").applyInPandas(_shared, "node bigint, shared bigint")
     sets_known = rows.groupBy("node").agg(F.min("key").alias("key"), F.max("n").alias("n"))
     least = F.greatest(F.lit(1), F.floor(F.col("n") * PERCENT / 1000))
     near = shared.groupBy("node").agg(F.sum("shared").alias("shared")).join(sets_known, "node").where(F.col("shared") >= least)
     near = settle(near.select("node", "key", "n"), "near")
     entries = near.agg(F.sum("n")).first()[0] or 0
-    labels = _labels(docs, near, entries).withColumnRenamed("node", "of") if entries else None
-    if labels is None:
-        named = rows.withColumn("root", F.col("node"))
+    nodes = sets_known.select("node", "key", "n")
+    if entries:
+        labels = _labels(docs, near, entries)
+        nodes = nodes.join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
+        nodes = nodes.withColumn("root", F.coalesce("root", "node"))
     else:
-        named = rows.join(labels, rows["node"] == labels["of"], "left").withColumn("root", F.coalesce("root", "node"))
-    named = settle(named.select("key", "n", "root"), "named")
-    least_key = named.where("n > 0").groupBy("root").agg(F.min("key").alias("component_id")).withColumnRenamed("root", "of")
-    empty = F.col("n") == 0
-    return named.join(least_key, (named["root"] == least_key["of"]) & ~empty, "left").select(
-        F.col("key").alias(key), F.col("n").alias("n_shingles"), F.when(empty, F.col("key")).otherwise(F.col("component_id")).alias("component_id")
+        nodes = nodes.withColumn("root", F.col("node"))
+    nodes = settle(nodes.select("node", "key", "root"), "nodes")
+    least_key = nodes.groupBy("root").agg(F.min("key").alias("component_id"))
+    named = nodes.join(least_key, "root").select(F.col("node").alias("of"), "component_id")
+    # Rows of one node may be very many; this join is the only place where they meet, and can be split.
+    return rows.join(named.hint("merge"), rows["node"] == named["of"]).select(
+        F.col("key").alias(key),
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") == 0, F.col("key")).otherwise(F.col("component_id")).alias("component_id"),
     )
 
 
 def _labels(docs: DataFrame, near: DataFrame, entries: int) -> DataFrame:
     """(node, root) of verified components among the documents that may link."""
     chosen = near.select(F.col("key").alias("wanted"))
-    survivors = docs.join(chosen, docs["key"].eqNullSafe(chosen["wanted"]), "left_semi").select("text")
+    # By sort and merge at every size: the other side grows with the documents, so it is never sent to all tasks.
+    survivors = docs.join(chosen.hint("merge"), docs["key"].eqNullSafe(chosen["wanted"]), "left_semi").select("text")
     sets = settle(_sets(survivors), "sets")
     parts = parts_for(entries * 8)
-    dealt = _deal_sets(sets, parts).groupBy("part").applyInPandas(_frequencies, "chunk bigint, part int, data binary")
+    dealt = _deal_sets(sets, parts).repartition(parts, "part").groupBy("part").applyInPandas(_frequencies, "chunk bigint, part int, data binary")
     replies = dealt.groupBy("chunk").agg(F.collect_list(F.struct("part", "data")).alias("replies"))
     rare = _deal_rare(sets.join(replies, "chunk"), parts)
-    stars = settle(rare.groupBy("part").applyInPandas(_stars, "a bigint, b bigint"), "stars")
+    stars = settle(rare.repartition(parts, "part").groupBy("part").applyInPandas(_stars, "a bigint, b bigint"), "stars")
     groups = connected(stars)
-    members = _spread(sets).join(groups, "node")
-    sizes = settle(members.groupBy("root").agg(F.sum("size").alias("total")), "group-sizes")
+    members = groups.join(near.select("node", "n"), "node")
+    sizes = settle(members.groupBy("root").agg(F.sum("n").alias("total")), "group-sizes")
     blocks = F.ceil(F.col("total") / GROUP_ENTRIES).cast("int")
     placed = members.join(sizes.select("root", blocks.alias("blocks")), "root").withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     )
     # A task per pair of blocks; a group of one block is one cell.
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    pairs = placed.select("root", "node", "hashes", "block", "blocks", other).where("blocks = 1 or block <> other")
+    pairs = placed.select("root", "node", "block", "blocks", other).where("blocks = 1 or block <> other")
     cells = pairs.select(
-        F.concat_ws("-", "root", F.least("block", "other"), F.greatest("block", "other")).alias("cell"), "node", "hashes"
+        F.concat_ws("-", "root", F.least("block", "other"), F.greatest("block", "other")).alias("cell"), "node"
     )
+    cells = _spread(sets).join(settle(cells, "cells").hint("merge"), "node").select("cell", "node", "hashes")
     found = _joined(cells.repartition(parts, "cell").sortWithinPartitions("cell"))
     if sizes.where(F.col("total") > GROUP_ENTRIES).limit(1).count():
         return settle(connected(found.select(F.col("node").alias("a"), F.col("root").alias("b"))), "labels")
