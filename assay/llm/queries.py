@@ -270,7 +270,34 @@ select doc_id, len(w) as n_tokens from d
 """
 
 
-@query("op4_suffix_array_dedup")
+@query(
+    "op4_suffix_array_dedup",
+    """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+-- Cut into blocks first, as places within long texts are slow to reach.
+blocks as (select doc_id, base, substring(h, 2 * base + 1, 598) as h from (select *, unnest(range(0, len(h) // 2, 250)) as base from d)),
+starts as (select doc_id, base, h, unnest(range(0, least(250, len(h) // 2 - 49))) as i from blocks where len(h) >= 100),
+owned as (select doc_id, base + i as i, min(doc_id) over (partition by substring(h, 2 * i + 1, 100)) as owner from starts),
+gone as (select doc_id, i, lag(i) over (partition by doc_id order by i) as before from owned where owner < doc_id),
+runs as (
+  select doc_id, min(i) as a, max(i) + 50 as b
+  from (select *, count(*) filter (where before is null or i > before + 50) over (partition by doc_id order by i) as run from gone)
+  group by doc_id, run
+),
+edges as (
+  select doc_id, coalesce(lag(b) over (partition by doc_id order by a), 0) as kept_from, a as kept_to from runs
+  union all select doc_id, max(b), null from runs group by doc_id
+),
+kept as (
+  select doc_id, string_agg(substring(h, 2 * kept_from + 1, 2 * (coalesce(kept_to, len(h) // 2) - kept_from)), '' order by kept_from) as h
+  from edges join d using (doc_id) group by doc_id
+),
+counts as (select doc_id, sum(b - a) as n_removed, count(*) as n_spans from runs group by doc_id)
+select doc_id, len(d.h) // 2 as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, coalesce(n_spans, 0) as n_spans,
+  sha256(unhex(coalesce(kept.h, d.h))) as kept_sha256
+from d left join counts using (doc_id) left join kept using (doc_id)
+""",
+)
 def suffix_array_dedup(spark, folder):
     from assay.llm.suffixes import cut_repeats, digest
 
