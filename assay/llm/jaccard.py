@@ -134,17 +134,18 @@ def node_of(h: np.ndarray) -> int:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """(key, n, node) of documents (key, text): equal shingle sets have equal nodes."""
+    """(key, digest, n, node) of documents (key, digest, text): equal shingle sets have equal nodes."""
 
     def run(source):
         for batch in source:
             found = [shingles(t.as_py() or b"") for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array([len(h) for h in found], pa.int64()), pa.array([node_of(h) for h in found], pa.int64())],
-                names=["key", "n", "node"],
+                [batch.column("key"), batch.column("digest")]
+                + [pa.array([len(h) for h in found], pa.int64()), pa.array([node_of(h) for h in found], pa.int64())],
+                names=["key", "digest", "n", "node"],
             )
 
-    return docs.mapInArrow(run, f"key {docs.schema['key'].dataType.simpleString()}, n bigint, node bigint")
+    return docs.mapInArrow(run, f"key {docs.schema['key'].dataType.simpleString()}, digest bigint, n bigint, node bigint")
 
 
 def _gather(blobs: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -173,10 +174,12 @@ def _shared(blobs: pd.DataFrame) -> pd.DataFrame:
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """(chunk, nodes, sizes, hashes): the sets of documents (text), many to a row; no node twice in a row."""
+    """(chunk, nodes, sizes, hashes): the sets of documents (row, text), many to a row; no node twice in a row.
+
+    A chunk has the number of its first row, because a node may be in several chunks.
+    """
 
     def run(source):
-        chunk = None
         for batch in source:
             found = {}
             for text in batch.column("text"):
@@ -184,10 +187,9 @@ def _sets(docs: DataFrame) -> DataFrame:
                 if len(h):
                     found[node_of(h)] = h
             if found:
-                chunk = next(iter(found))
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "chunk": [chunk],
+                        "chunk": [batch.column("row")[0].as_py()],
                         "nodes": [np.array(list(found), np.int64).tobytes()],
                         "sizes": [np.array([len(h) for h in found.values()], np.int64).tobytes()],
                         "hashes": [np.concatenate(list(found.values())).tobytes()],
@@ -440,14 +442,18 @@ def link_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
        joined afterwards.
     """
     docs = df.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("text"))
+    docs = docs.select("key", F.xxhash64("text").alias("digest"), "text")
     size = text_bytes(docs)
     parts = parts_for(size * 0.35)
     rows = settle(classes(docs), "classes")
+    one = F.struct("key", "digest")
+    one = F.coalesce(F.min(F.when(F.col("key").isNotNull(), one)), F.min(one))  # the text of each node that is read again
     shared = _deal(docs.select("text"), parts, True).repartition(parts, "part").groupBy("part").applyInPandas(_shared, "node bigint, shared bigint")
     sets_known = rows.groupBy("node").agg(F.min("key").alias("key"), F.max("n").alias("n"))
     least = F.greatest(F.lit(1), F.floor(F.col("n") * PERCENT / 1000))
-    near = shared.groupBy("node").agg(F.sum("shared").alias("shared")).join(sets_known, "node").where(F.col("shared") >= least)
-    near = settle(near.select("node", "key", "n"), "near")
+    texts_known = rows.groupBy("node").agg(one.alias("one"), F.max("n").alias("n"))
+    near = shared.groupBy("node").agg(F.sum("shared").alias("shared")).join(texts_known, "node").where(F.col("shared") >= least)
+    near = settle(near.select("node", "one.key", "one.digest", "n"), "near")
     entries = near.agg(F.sum("n")).first()[0] or 0
     nodes = sets_known.select("node", "key", "n")
     if entries:
@@ -469,10 +475,12 @@ def link_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 def _labels(docs: DataFrame, near: DataFrame, entries: int) -> DataFrame:
     """(node, root) of verified components among the documents that may link."""
-    chosen = near.select(F.col("key").alias("wanted"))
+    chosen = near.select(F.col("key").alias("wanted"), F.col("digest").alias("wanted_digest"))
     # By sort and merge at every size: the other side grows with the documents, so it is never sent to all tasks.
-    survivors = docs.join(chosen.hint("merge"), docs["key"].eqNullSafe(chosen["wanted"]), "left_semi").select("text")
-    sets = settle(_sets(survivors), "sets")
+    # A repeated key's other texts stay behind, and repeats of a row are one text before they are made sets.
+    same = docs["key"].eqNullSafe(chosen["wanted"]) & (docs["digest"] == chosen["wanted_digest"])
+    survivors = docs.join(chosen.hint("merge"), same, "left_semi").select("text").distinct()
+    sets = settle(_sets(survivors.withColumn("row", F.monotonically_increasing_id())), "sets")
     parts = parts_for(entries * 8)
     dealt = _deal_sets(sets, parts).repartition(parts, "part").groupBy("part").applyInPandas(_frequencies, "chunk bigint, part int, data binary")
     replies = dealt.groupBy("chunk").agg(F.collect_list(F.struct("part", "data")).alias("replies"))

@@ -71,3 +71,16 @@ def test_join_sets(sets, heap):
                 if 100 * len(a & b) >= 80 * len(a | b):
                     want[i] = want[j] = min(want[i], want[j])
     assert [int(r) for r in roots] == want
+
+
+@pytest.mark.parametrize("key", [7, None])
+def test_repeats_over_many_batches(spark, key):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(key, text)] * 3 + [(8, text + " x"), (9, "one two three four five six"), (key, "a text of its own"), (None, "alone too")]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        found = jaccard.link_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == brute(rows)
