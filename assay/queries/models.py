@@ -128,12 +128,8 @@ def _vectors(t):
     return M.vectorise(train, test, "txn_id", "resale_price", ["town"])
 
 
-#: The grids of a comparison: the linear one is whole, of the tree models some of the default combinations.
-COMPARED = {
-    "linear_regression": M.GRIDS["linear_regression"],
-    "random_forest": {"numTrees": [20], "maxDepth": [5]},
-    "gbt": {"maxIter": [10], "maxDepth": [3], "stepSize": [0.1]},
-}
+#: The grids of a comparison: the whole default grid of each family.
+COMPARED = M.GRIDS
 COMPLETE = "resale_price is not null and floor_area_sqm is not null and storey_midpoint is not null"
 LABELS = f"""bounds as (select min(resale_price) as lo, max(resale_price) as hi from deals
  where {COMPLETE} and {within_share('txn_id', 0.8)}),
@@ -299,9 +295,9 @@ def residual_analysis(t):
     "deals",
 )
 def oot_validation(t):
-    """The winner of a comparison on later rows, beside its metrics on the random split."""
+    """The winner of a comparison of all families on later rows, beside its metrics on the random split."""
     rows = _features(t)
-    first = M.train_and_compare(rows, [M.spec("linear_regression")], "txn_id")
+    first = M.train_and_compare(rows, [M.spec(name) for name in COMPARED], "txn_id")
     best = first.best()
     chosen = M.metrics_long(first.metrics.where(F.col("model") == best))
     report = M.out_of_time(rows, M.spec(best), "month", "txn_id", random_metrics=chosen)

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assay.plans import training as M
+from assay.queries import models
 
 
 @pytest.fixture(scope="module")
@@ -70,3 +71,18 @@ def test_out_of_time(deals):
     assert {r["metric"] for r in out["metrics"].collect()} == {"rmse", "mae", "r2", "mape"}
     assert out["comparison"].count() == 1 and out["worst_town"].count() <= 10
     assert out["by_month"].agg(F.sum("n")).head()[0] == split["holdout"]["n"]
+
+
+@pytest.mark.parametrize("name", ["train_compare", "oot_validation"])
+def test_comparing_queries_try_whole_grids_of_all_families(spark, monkeypatch, name):
+    class Seen(Exception):
+        pass
+
+    def compared(rows, specs, key):
+        raise Seen({s.name: len(s.param_maps()) for s in specs})
+
+    monkeypatch.setattr(models, "_features", lambda t: None)
+    monkeypatch.setattr(M, "train_and_compare", compared)
+    with pytest.raises(Seen) as seen:
+        getattr(models, name)(None)
+    assert seen.value.args[0] == {"linear_regression": 12, "random_forest": 8, "gbt": 8}
