@@ -22,10 +22,13 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the least doc_id."""
-    linked = jaccard.link_documents(docs)
-    first = linked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_first"))
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["_first"]), "left_semi")
+    """Of each group of linked documents one row, of the least doc_id; null keys come last."""
+    # The numbers are written, because they must be the same in both readings.
+    numbered = settle(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    one = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row")
+    linked = jaccard.link_documents(numbered.select(one.alias("doc_id"), "text"))
+    first = linked.where(F.col("doc_id") == F.col("component_id")).select("doc_id._row")
+    return numbered.join(first, "_row", "left_semi").drop("_row")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -89,6 +89,17 @@ def test_nulls_copies_and_extra_columns(spark, messy):
     assert not docs.isEmpty() and docs.select("text").distinct().count() == docs.count()
 
 
+def test_near_copies_without_or_with_repeated_keys_go(spark):
+    """One row of each group stays, whatever else has its key; empty texts are in no group."""
+    a, b, c, d = ([f"{x}{i}" for i in range(60)] for x in "abcd")
+    rows = [(None, ""), (None, None), (3, ""), (5, a), (None, a + ["x"]), (None, b), (None, b + ["x"])]
+    rows += [(7, c), (7, c + ["x"]), (7, d), (9, d + ["x"])]
+    rows = [(k, " ".join(t) if t else t) for k, t in rows]
+    kept = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), FOLDER).collect()
+    got = [(r["doc_id"], (r["text"] or "-")[0]) for r in kept]
+    assert sorted(got, key=str) == sorted([(None, "-"), (None, "-"), (3, "-"), (5, "a"), (None, "b"), (7, "c"), (7, "d")], key=str)
+
+
 def test_empty(spark, empty):
     docs = empty
     for _, stage in corpus_pipeline.STAGES:
