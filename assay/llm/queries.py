@@ -302,3 +302,33 @@ def suffix_array_dedup(spark, folder):
     from assay.llm.suffixes import cut_repeats, digest
 
     return digest(cut_repeats(table(spark, folder, "documents")))
+
+
+@query(
+    "op11_fill_in_middle",
+    r"""
+with d as (
+  select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[ \t-\r]*[^ \t-\r]+|[ \t-\r]+') as u,
+    sha256('42:' || coalesce(cast(doc_id as varchar), '')) as h
+  from documents
+), drawn as (
+  select doc_id, t, u, len(u) as n, cast('0x' || h[1:8] as bigint) % (len(u) + 1) as a, cast('0x' || h[9:16] as bigint) % (len(u) + 1) as b,
+    case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or cast('0x' || h[17:24] as bigint) % 100 >= 50
+      then 'plain' when cast('0x' || h[25:32] as bigint) % 100 < 80 then 'spm' else 'psm' end as form
+  from d
+), parts as (
+  select doc_id, t, n, form, array_to_string(u[1:least(a, b)], '') as p, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') as m,
+    array_to_string(u[greatest(a, b) + 1:], '') as s
+  from drawn
+)
+select doc_id, n, form, case when form <> 'plain' then length(p) end as prefix_chars, case when form <> 'plain' then length(m) end as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+    else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+  sha256(t) as restored_sha256
+from parts
+""",
+)
+def fill_in_middle(spark, folder):
+    from assay.llm.infill import fill_in_middle
+
+    return fill_in_middle(table(spark, folder, "documents"))
