@@ -332,3 +332,70 @@ def fill_in_middle(spark, folder):
     from assay.llm.infill import fill_in_middle
 
     return fill_in_middle(table(spark, folder, "documents"))
+
+
+def _merkle_sql(levels: int) -> str:
+    """SQL for trees of up to 16^levels leaves a source and as many sources; one set of steps for each level."""
+
+    def steps(x: str, p: str) -> str:
+        """Reduce the nodes `x`0 level by level, and take the proof and the folded node of the rows `p`0 along."""
+        made = []
+        for k in range(levels):
+            made.append(f"""
+{x}{k}n as (select *, count(*) over (partition by tree) as n from {x}{k}),
+{x}{k + 1} as (
+  select tree, place // 16 as place, case when max(n) = 1 then max(d) else sha256(string_agg(d, '' order by place)) end as d
+  from {x}{k}n group by tree, place // 16
+), {x}{k}s as (
+  select a.tree, a.place, a.n, coalesce(string_agg(b.d, '' order by b.place) filter (b.place < a.place), '') as l,
+    coalesce(string_agg(b.d, '' order by b.place) filter (b.place > a.place), '') as r
+  from {x}{k}n a join {x}{k}n b on a.tree = b.tree and a.place // 16 = b.place // 16 group by a.tree, a.place, a.n
+), {p}{k + 1} as (
+  select p.* replace (proof || l || r as proof, case when n = 1 then folded else sha256(l || folded || r) end as folded, p.place // 16 as place)
+  from {p}{k} p join {x}{k}s s on p.tree = s.tree and p.place = s.place
+)""")
+        return ",".join(made)
+
+    told = lambda c: f"coalesce(cast(octet_length(encode(cast({c} as varchar))) as varchar) || ':' || cast({c} as varchar), '-')"
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    leaf = lambda text: "sha256(" + " || ".join(map(told, [*fields, text])) + ")"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+with bits as (
+  select list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+    lambda a, b: xor(a >> 1, (a & 1) * 3988292384))) as step
+), docs as (
+  select *, xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(cast(doc_id as varchar))), '..'),
+    lambda h: cast('0x' || h as bigint))), lambda a, b: xor(a >> 8, step[(xor(a, b) & 255) + 1])), 4294967295) as crc from documents, bits
+), leaves as (
+  select doc_id, {leaf("text")} as leaf, case when crc % 5 = 0 then {leaf(lower)} end as altered,
+    dense_rank() over (order by source nulls first) - 1 as tree from docs
+), p0 as (
+  select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as place, tree as source, '' as proof,
+    coalesce(altered, leaf) as folded from leaves
+), x0 as (select tree, place, leaf as d from p0), {steps("x", "p")},
+y0 as (select 0 as tree, tree as place, d from x{levels}),
+q0 as (select * replace (0 as tree, source as place) from p{levels}), {steps("y", "q")}
+select doc_id, leaf, x.d as subroot, y.d as root, sha256(proof) as proof_sha256, folded as folded_root, folded = y.d as verified
+from q{levels} join x{levels} x on x.tree = source, y{levels} y
+"""
+
+
+@query("op12_merkle_manifest", _merkle_sql(4))
+def merkle_manifest(spark, folder):
+    from assay.llm.merkle import check_tampered
+
+    return check_tampered(table(spark, folder, "documents"))
+
+
+@query("op13_quality_classifier")
+def quality_classifier(spark, folder, only=None):
+    """All documents, or those whose keys the table `only` has; nothing is learned from held-out labels."""
+    from pyspark.sql import functions as F
+
+    from assay.llm.quality import classify
+
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    rated = classify(docs if only is None else docs.join(only, "doc_id", "left_semi"), labels.where(~held_out))
+    return rated.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
