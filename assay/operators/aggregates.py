@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from itertools import combinations
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assay.functions.text import not_blank
+from assay.operators.gram import gram
 from assay.operators.ordering import top_k
 from assay.operators.quantiles import exact_quantiles
 from assay.session import attach, names, settle
@@ -132,14 +133,14 @@ def group_summary(df: DataFrame, by, means, median: str, accuracy: int | None =
     if accuracy is not None:
         return df.groupBy(*by).agg(F.percentile_approx(median, 0.5, accuracy).alias(out), *measures)
     values = settle(df.select(*dict.fromkeys([*by, *names(means), median])), "values")
-    medians = settle(exact_quantiles(values, median, {out: 0.5}, by, discrete=True, written=True), "medians")
+    medians = exact_quantiles(values, median, {out: 0.5}, by, discrete=True, written=True)
     return attach(values.groupBy(*by).agg(*measures), medians, by)
 
 
 def summary(df: DataFrame, column: str) -> DataFrame:
     """Overall mean and interpolated median."""
     values = settle(df.select(column), "values")
-    median = settle(exact_quantiles(values, column, {"median": 0.5}, written=True), "median")
+    median = exact_quantiles(values, column, {"median": 0.5}, written=True)
     return attach(values.agg(F.avg(column).alias("mean")), median)
 
 
@@ -182,34 +183,16 @@ def corr_with(df: DataFrame, columns, target: str) -> DataFrame:
     return one.unpivot([], names(columns), "feature", "r")
 
 
-def complete_rows(df: DataFrame, columns) -> DataFrame:
-    out = df.select(*[F.col(c).cast("double").alias(c) for c in names(columns)])
-    for c in names(columns):
-        out = out.where(F.col(c).isNotNull() & ~F.isnan(c))
-    return out
-
-
 def corr_matrix(df: DataFrame, columns) -> DataFrame:
-    """(a, b, r) for every ordered pair, over rows in which all columns are present, in one pass.
+    """(a, b, r) for every ordered pair, over rows in which all columns are present.
 
-    A constant column has null with every column, itself included, and so has every pair of an
-    empty table.
+    One aggregate of outer products serves any number of columns. A constant column has null with every
+    column, itself included, and so has every pair of an empty table.
     """
     columns = names(columns)
-    rows = complete_rows(df, columns)
-    pairs = list(combinations(columns, 2))
-    one = rows.agg(
-        *[pearson_r(F.col(a), F.col(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)],
-        *[F.when(F.stddev_pop(c) > 0, 1.0).alias(f"d{i}") for i, c in enumerate(columns)],
-    )
-
-    def entry(a, b, r):
-        return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(r).alias("r"))
-
-    cells = [entry(c, c, f"d{i}") for i, c in enumerate(columns)]
-    for i, (a, b) in enumerate(pairs):
-        cells += [entry(a, b, f"r{i}"), entry(b, a, f"r{i}")]
-    return to_rows(one, cells)
+    r = gram(df, columns).correlation()
+    cells = [(a, b, None if math.isnan(r[i, j]) else float(r[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    return df.sparkSession.createDataFrame(cells, "a string, b string, r double")
 
 
 def high_corr(matrix: DataFrame, threshold: float = 0.85, order=None) -> DataFrame:
@@ -265,7 +248,7 @@ def gap_stats(df: DataFrame, column: str, formula: Column) -> DataFrame:
     """Mean, discrete median and greatest absolute gap between a column and its formula."""
     gaps = settle(df.select(F.abs(F.col(column) - formula).alias("gap")), "gaps")
     median = exact_quantiles(gaps, "gap", {"median_gap": 0.5}, discrete=True, written=True)
-    return attach(gaps.agg(F.avg("gap").alias("avg_gap"), F.max("gap").alias("max_gap")), settle(median, "median"))
+    return attach(gaps.agg(F.avg("gap").alias("avg_gap"), F.max("gap").alias("max_gap")), median)
 
 
 def box_summary(df: DataFrame, by, column: str, reach: float = 1.5) -> DataFrame:
@@ -275,7 +258,6 @@ def box_summary(df: DataFrame, by, column: str, reach: float = 1.5) -> DataFrame
     rows = df.select(*by, F.col(column).cast("double").alias("_x")).where(x.isNotNull() & ~F.isnan(x))
     rows = settle(rows, "values")
     quartiles = exact_quantiles(rows, "_x", {"q1": 0.25, "median": 0.5, "q3": 0.75}, by, written=True)
-    quartiles = settle(quartiles, "quartiles")
     return (
         attach(rows, quartiles, by)
         .groupBy(*by, "q1", "median", "q3")

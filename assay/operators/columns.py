@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assay.functions.text import concat_key, guarded_cast, not_blank
-from assay.session import names
+from assay.session import names, settle
 from assay.sources.files import tag_source
 
 
@@ -59,14 +59,23 @@ def any_missing(df: DataFrame, columns) -> Column:
     return condition
 
 
+def split_off(df: DataFrame, gone: Column) -> tuple[DataFrame, DataFrame]:
+    """(the rows that are not `gone`, written; one-row table of how many were removed).
+
+    Both come from one scan: the counts are observed while the rows pass on their way into the table.
+    """
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("n_before"), F.coalesce(F.sum(gone.cast("long")), F.lit(0)).alias("n_removed")]
+    kept = settle(df.observe(seen, *counts).where(~gone), "kept")
+    n_before, n_removed = seen.get["n_before"], seen.get["n_removed"]
+    share = n_removed * 100.0 / n_before if n_before else None
+    stats = df.sparkSession.createDataFrame([(n_before, n_removed, share)], "n_before long, n_removed long, removed_pct double")
+    return kept, stats
+
+
 def drop_missing(df: DataFrame, columns) -> tuple[DataFrame, DataFrame]:
     """(rows with every column present and not NaN, one-row table of how many were removed)."""
-    gone = any_missing(df, columns)
-    removed = F.coalesce(F.sum(gone.cast("long")), F.lit(0))
-    stats = df.agg(F.count("*").alias("n_before"), removed.alias("n_removed")).withColumn(
-        "removed_pct", F.try_divide(F.col("n_removed") * 100.0, F.col("n_before"))
-    )
-    return df.where(~gone), stats
+    return split_off(df, any_missing(df, columns))
 
 
 def drop_blank(df: DataFrame, column: str) -> DataFrame:
@@ -179,11 +188,12 @@ def with_row_id(df: DataFrame, keys=None, out: str = "row_id") -> DataFrame:
     return df.withColumn(out, F.md5(F.to_json(F.struct(*names(keys)), {"ignoreNullFields": "false"})))
 
 
+def without_flagged(df: DataFrame, flag: str) -> DataFrame:
+    """Rows not flagged, without the flag. Null is no flag."""
+    return df.where(~F.coalesce(F.col(flag), F.lit(False))).drop(flag)
+
+
 def remove_flagged(df: DataFrame, flag: str) -> tuple[DataFrame, DataFrame]:
-    """(rows not flagged, without the flag; one-row table of the share removed). Null is no flag."""
-    flagged = F.coalesce(F.col(flag), F.lit(False))
-    removed = F.coalesce(F.sum(flagged.cast("long")), F.lit(0))
-    stats = df.agg(F.count("*").alias("n_before"), removed.alias("n_removed")).withColumn(
-        "removed_pct", F.try_divide(F.col("n_removed") * 100.0, F.col("n_before"))
-    )
-    return df.where(~flagged).drop(flag), stats
+    """(`without_flagged`, written; one-row table of the share removed), from one scan."""
+    kept, stats = split_off(df, F.coalesce(F.col(flag), F.lit(False)))
+    return kept.drop(flag), stats

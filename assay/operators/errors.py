@@ -77,7 +77,7 @@ def residual_summary(df: DataFrame, by=None) -> DataFrame:
     moments = rows.agg(
         F.avg("residual").alias("mean_residual"), F.stddev_samp("residual").alias("std_residual")
     )
-    out = attach(moments, settle(sizes, "sizes"))
+    out = attach(moments, sizes)
     for column in by:
         groups = error_by(rows, column).where(F.col("mape").isNotNull() & F.col(column).isNotNull())
         ends = groups.agg(

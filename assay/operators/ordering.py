@@ -5,10 +5,11 @@ from __future__ import annotations
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from assay.functions.dates import quarters_back
-from assay.session import col, names
+from assay.session import col, names, same_keys, settle
 
 DIGITS = 15  # of a digest that decide, so shares are exact to 2 ** -60
 
@@ -104,3 +105,27 @@ def check_no_overlap(report: DataFrame) -> None:
         raise ValueError("the holdout is empty; use another cutoff")
     if parts.get("train") and parts["train"]["high"] >= parts["holdout"]["low"]:
         raise ValueError("training rows reach into the holdout period")
+
+
+def positions(df: DataFrame, group, order, out: str = "at") -> DataFrame:
+    """`df` with the place of each row in its group from 0, by a sort by range and counts per task.
+
+    A group may span any number of tasks. Rows that tie in the whole order get places in any order among
+    themselves, and are spread over tasks too, so that no value holds one up.
+    """
+    group, order = names(group), names(order)
+    keys = [*group, *order, "_spread"]
+    ranged = (
+        df.withColumn("_spread", F.monotonically_increasing_id())
+        .repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
+        .drop("_spread")
+        .withColumns({"_line": F.monotonically_increasing_id(), "_task": F.spark_partition_id()})
+    )
+    ranged = settle(ranged, "ranged")
+    blocks = ranged.groupBy(*group, "_task").agg(F.count("*").alias("_rows"), F.min("_line").alias("_first"))
+    earlier = Window.partitionBy(*(group or [F.lit(0)])).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")
+    blocks = blocks.select(*[F.col(g).alias(f"_{g}") for g in group], F.col("_task").alias("_of"), shift.alias("_shift"))
+    on = same_keys(ranged, blocks, [("_task", "_of"), *[(g, f"_{g}") for g in group]])
+    return ranged.join(blocks, on).select(*df.columns, (F.col("_line") + F.col("_shift")).alias(out))

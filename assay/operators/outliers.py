@@ -40,8 +40,7 @@ def flag_iqr(
     if relative_error is None:
         quartiles = exact_quantiles(df, column, probs, by)
     else:
-        quartiles = sketched_quantiles(df, column, probs, by, relative_error)
-    quartiles = settle(quartiles, "quartiles")
+        quartiles = settle(sketched_quantiles(df, column, probs, by, relative_error), "quartiles")
     margin = (F.col("_q3") - F.col("_q1")) * F.lit(float(multiplier))
     outside = (F.col(column) < F.col("_q1") - margin) | (F.col(column) > F.col("_q3") + margin)
     flagged = attach(df, quartiles, by).withColumn(

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assay.operators.aggregates import complete_rows
+from assay.operators.gram import gram
 from assay.session import attach, names
 
 # Eigenvalues up to this, per column, are no variance; smaller weights on them are rounding.
@@ -98,28 +98,22 @@ def quadratic_fit(df: DataFrame, x: str, y: str, n: int = 200) -> DataFrame:
 def vif(df: DataFrame, columns, min_rows: int = 10) -> DataFrame:
     """(feature, vif), uncentered, over all complete rows; constant columns are left out.
 
-    One aggregation gives all products of columns (k by k numbers). With that small matrix scaled to
+    One aggregate of outer products gives all products of columns (k by k numbers). With that small matrix scaled to
     a unit diagonal, the VIFs are the diagonal of its inverse, summed over its eigenvectors; a column
     with weight on an eigenvector of no variance is a combination of others, and its VIF is infinite.
     Empty if there are under two columns or ten rows.
     """
     columns = names(columns)
-    rows = complete_rows(df, columns)
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    row = rows.agg(
-        F.count("*").alias("n"),
-        *[(F.min(c) < F.max(c)).alias(f"varies{i}") for i, c in enumerate(columns)],
-        *[F.sum(F.col(columns[i]) * F.col(columns[j])).alias(f"g{i}_{j}") for i, j in pairs],
-    ).head()
-    keep = [i for i in range(len(columns)) if row[f"varies{i}"]]
+    sums = gram(df, columns)
+    keep = np.flatnonzero(sums.varies())
     result = []
-    if len(keep) >= 2 and row["n"] >= min_rows:
-        gram = np.array([[row[f"g{min(i, j)}_{max(i, j)}"] for j in keep] for i in keep])
-        scale = np.sqrt(np.diag(gram))
-        values, vectors = np.linalg.eigh(gram / np.outer(scale, scale))
+    if len(keep) >= 2 and sums.n >= min_rows:
+        products = sums.raw_products()[np.ix_(keep, keep)]
+        scale = np.sqrt(np.diag(products))
+        values, vectors = np.linalg.eigh(products / np.outer(scale, scale))
         sound = values > SINGULAR * len(keep)
         vifs = (vectors[:, sound] ** 2 / values[sound]).sum(1)
         tied = (np.abs(vectors[:, ~sound]) > TIED_WEIGHT).any(1)
         result = [(columns[i], float("inf") if tied[k] else float(vifs[k])) for k, i in enumerate(keep)]
-    table = rows.sparkSession.createDataFrame(result, "feature string, vif double")
+    table = df.sparkSession.createDataFrame(result, "feature string, vif double")
     return table.orderBy(F.col("vif").desc(), "feature")

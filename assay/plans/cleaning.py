@@ -1,6 +1,7 @@
 """Cleaning from a declarative configuration.
 
-A configuration becomes an ordered list of steps, each a lazy change of the DataFrame. Only the
+Each step declares what it reads, makes and removes, and the plan is an order that these declarations
+allow, so nobody keeps a list in the right order. Each step is a lazy change of the DataFrame. Only the
 profile that derives a default configuration, and the quartiles of the outlier step, run jobs.
 """
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from assay.functions.dates import month_part, month_to_date, parse_date, remaining_term, year_part
 from assay.functions.text import range_midpoint, replace_values, trim_upper, years_months
 from assay.operators.aggregates import null_counts
-from assay.operators.columns import drop_blank, remove_flagged, whitelist, range_filter
+from assay.operators.columns import drop_blank, range_filter, whitelist, without_flagged
 from assay.operators.outliers import flag_iqr, flag_zscore
 from assay.operators.sets import dedupe_rows
 
@@ -60,25 +61,60 @@ def impute_term(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.coalesce(F.col(column), _term_by_formula(df)))
 
 
+@dataclass(frozen=True)
+class Operation:
+    """A change of the table, and what it has to do with its columns.
+
+    `reads`, `makes` and `removes` name columns, or a column in a state (`month date`, once it is a date).
+    `{c}` stands for the column that a step is for. `rows` says that it takes rows away, `over_rows` that
+    its result depends on which rows there are.
+    """
+
+    change: Callable[..., DataFrame]
+    reads: tuple[str, ...] = ("{c}",)
+    makes: tuple[str, ...] = ()
+    removes: tuple[str, ...] = ()
+    rows: bool = False
+    over_rows: bool = False
+
+
 # The names of steps, which configurations use.
-STEPS: dict[str, Callable[..., DataFrame]] = {
-    "trim_uppercase": lambda df, c: df.withColumn(c, trim_upper(c)),
-    "parse_yyyymm_date": lambda df, c: df.withColumn(c, month_to_date(c)),
-    "parse_yyyymmdd_date": lambda df, c: df.withColumn(c, parse_date(c)),
-    "parse_lease_string": lambda df, c, **o: df.withColumn(c, years_months(c, **o)),
-    "drop_nulls": drop_blank,
-    "flag_outliers_zscore": lambda df, c, group_by=None, **o: flag_zscore(df, c, group_by, **o),
-    "flag_outliers_iqr": lambda df, c, **o: flag_iqr(df, c, **o),
-    "standardise_values": lambda df, c, replacements: df.withColumn(c, replace_values(c, replacements)),
-    "impute_remaining_lease": impute_term,
-    "parse_storey_range": lambda df, c: df.withColumn("storey_midpoint", range_midpoint(c)),
-    "derive_year_month": lambda df, c: df.withColumns(
-        {"transaction_year": year_part(c), "transaction_month": month_part(c)}
+STEPS: dict[str, Operation] = {
+    "compute_remaining_lease": Operation(
+        lambda df, c: df.withColumn("remaining_lease_years", remaining_term("transaction_year", "lease_commence_date")),
+        reads=("transaction_year", "lease_commence_date"),
+        makes=("remaining_lease_years",),
     ),
-    "compute_remaining_lease": lambda df, c: df.withColumn(
-        "remaining_lease_years", remaining_term("transaction_year", "lease_commence_date")
+    "derive_year_month": Operation(
+        lambda df, c: df.withColumns({"transaction_year": year_part(c), "transaction_month": month_part(c)}),
+        reads=("{c} date",),
+        makes=("transaction_year", "transaction_month"),
     ),
-    "drop_column": lambda df, c: df.drop(df[c]),
+    "drop_column": Operation(lambda df, c: df.drop(df[c]), reads=(), removes=("{c}",)),
+    "drop_nulls": Operation(drop_blank, rows=True),
+    "flag_outliers_iqr": Operation(lambda df, c, **o: flag_iqr(df, c, **o), makes=("{c}_outlier",), over_rows=True),
+    "flag_outliers_zscore": Operation(
+        lambda df, c, group_by=None, **o: flag_zscore(df, c, group_by, **o), makes=("{c}_outlier",), over_rows=True
+    ),
+    "impute_remaining_lease": Operation(impute_term, reads=("{c} years", "month"), makes=("{c} whole",)),
+    "parse_lease_string": Operation(lambda df, c, **o: df.withColumn(c, years_months(c, **o)), makes=("{c} years",)),
+    "parse_storey_range": Operation(lambda df, c: df.withColumn("storey_midpoint", range_midpoint(c)), makes=("storey_midpoint",)),
+    "parse_yyyymm_date": Operation(lambda df, c: df.withColumn(c, month_to_date(c)), makes=("{c} date",)),
+    "parse_yyyymmdd_date": Operation(lambda df, c: df.withColumn(c, parse_date(c)), makes=("{c} date",)),
+    "standardise_values": Operation(
+        lambda df, c, replacements: df.withColumn(c, replace_values(c, replacements)), reads=("{c} tidy",), makes=("{c} canonical",)
+    ),
+    "trim_uppercase": Operation(lambda df, c: df.withColumn(c, trim_upper(c)), makes=("{c} tidy",)),
+}
+
+#: What a column of the raw table is due, whatever the configuration.
+TREATMENTS: dict[str, tuple[str, ...]] = {
+    **{c: ("trim_uppercase",) for c in CATEGORICALS},
+    "flat_type": ("trim_uppercase", "standardise_values"),
+    "lease_commence_date": ("compute_remaining_lease",),
+    "month": ("parse_yyyymm_date", "derive_year_month"),
+    "remaining_lease": ("drop_column",),
+    "storey_range": ("parse_storey_range",),
 }
 
 
@@ -92,59 +128,62 @@ def derive_config(df: DataFrame, keep_nulls=("remaining_lease", "flat_model"), *
     return CleaningConfig(**{"drop_nulls": with_nulls, **overrides})
 
 
-@dataclass(frozen=True)
-class Stage:
-    """A step of every plan, for the columns that a configuration and a table give it."""
+def _comes_before(a: Step, b: Step) -> bool:
+    """Whether what `a` does must be done when `b` is.
 
-    name: str
-    columns: Callable[[CleaningConfig, list[str]], list[str]]
-    options: Callable[[CleaningConfig], dict] = lambda config: {}
-
-
-def _always(column: str):
-    return lambda config, present: [column]
-
-
-def _outliers(wanted: bool):
-    return lambda config, present: ["resale_price"] if (config.outlier_method.upper() == "IQR") == wanted else []
-
-
-# In order: text before what is parsed from it, rows without values before bounds are taken of the rest.
-STAGES = [
-    Stage("trim_uppercase", lambda config, present: [c for c in CATEGORICALS if c in present]),
-    Stage("parse_yyyymm_date", _always("month")),
-    Stage("derive_year_month", _always("month")),
-    Stage("parse_storey_range", lambda config, present: ["storey_range"] * config.parse_storey_range),
-    Stage("standardise_values", _always("flat_type"), lambda config: {"replacements": FLAT_TYPE_SPELLINGS}),
-    Stage("compute_remaining_lease", _always("remaining_lease")),
-    Stage("drop_column", _always("remaining_lease")),
-    Stage("drop_nulls", lambda config, present: [c for c in config.drop_nulls if c != "remaining_lease"]),
-    Stage("drop_column", lambda config, present: list(config.drop_columns)),
-    Stage(
-        "flag_outliers_iqr",
-        _outliers(True),
-        lambda config: {"multiplier": config.outlier_threshold, "relative_error": config.relative_error},
-    ),
-    Stage("flag_outliers_zscore", _outliers(False), lambda config: {"threshold": config.outlier_threshold}),
-]
+    It makes what the other reads; the other removes a column that it has to do with; the other takes
+    rows away by a column that it brings into another state; or it takes rows away and the other
+    depends on the rows.
+    """
+    if a == b or a.name not in STEPS or b.name not in STEPS:
+        return False
+    first, second = STEPS[a.name], STEPS[b.name]
+    made = {x.format(c=a.column) for x in first.makes}
+    touched = {x.format(c=a.column).split()[0] for x in first.reads + first.makes}
+    needed = {x.format(c=b.column) for x in second.reads}
+    gone = {x.format(c=b.column) for x in second.removes}
+    changed = {x.split()[0] for x in made if " " in x}
+    return bool(made & needed or gone & touched or second.rows and changed & needed or first.rows and second.over_rows)
+
+
+def in_order(steps) -> list[Step]:
+    """The steps in an order that their declarations allow; whatever it leaves open goes by name and column."""
+    waiting = sorted(steps, key=lambda step: (step.name, step.column))
+    ordered: list[Step] = []
+    while waiting:
+        ready = next((s for s in waiting if not any(_comes_before(other, s) for other in waiting)), None)
+        if ready is None:
+            raise ValueError(f"steps wait for each other: {[s.name for s in waiting]}")
+        waiting.remove(ready)
+        ordered.append(ready)
+    return ordered
 
 
 def steps_of(config: CleaningConfig, columns) -> list[Step]:
-    """The ordered steps of a configuration for a table with these columns."""
-    present = list(columns)
-    return [Step(s.name, c, s.options(config)) for s in STAGES for c in s.columns(config, present)]
+    """The steps that a table with these columns is due under a configuration, in order."""
+    outliers = "flag_outliers_iqr" if config.outlier_method.upper() == "IQR" else "flag_outliers_zscore"
+    options = {
+        "flag_outliers_iqr": {"multiplier": config.outlier_threshold, "relative_error": config.relative_error},
+        "flag_outliers_zscore": {"threshold": config.outlier_threshold},
+        "standardise_values": {"replacements": FLAT_TYPE_SPELLINGS},
+    }
+    due = {(name, column) for column in columns for name in TREATMENTS.get(column, ())}
+    due |= {("drop_nulls", column) for column in config.drop_nulls if "drop_column" not in TREATMENTS.get(column, ())}
+    due |= {("drop_column", column) for column in config.drop_columns} | {(outliers, "resale_price")}
+    left_out = set() if config.parse_storey_range else {"parse_storey_range"}
+    return in_order(Step(name, column, options.get(name, {})) for name, column in due if name not in left_out)
 
 
 def apply_steps(df: DataFrame, steps: list[Step]) -> tuple[DataFrame, list[tuple[str, str, str]]]:
     """Apply steps in order. Unknown steps, and steps that do not fit the table, are skipped."""
     log = []
     for step in steps:
-        change = STEPS.get(step.name)
-        if change is None:
+        operation = STEPS.get(step.name)
+        if operation is None:
             log.append((step.name, step.column, "skipped: unknown step"))
             continue
         try:
-            changed = change(df, step.column, **step.options)
+            changed = operation.change(df, step.column, **step.options)
             changed.schema  # raises here if the step does not fit
             df = changed
             log.append((step.name, step.column, "applied"))
@@ -164,7 +203,7 @@ def finish(df: DataFrame, flag: str = "resale_price_outlier") -> DataFrame:
     """Rule filters after the steps: canonical types, positive area, no copies, no outliers."""
     df, _ = whitelist(df, "flat_type", FLAT_TYPES)
     df = dedupe_rows(range_filter(df, "floor_area_sqm", 0.0, inclusive=False))
-    return remove_flagged(df, flag)[0] if flag in df.columns else df
+    return without_flagged(df, flag) if flag in df.columns else df
 
 
 def waterfall(df: DataFrame, stages: dict) -> DataFrame:

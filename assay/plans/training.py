@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import (
@@ -14,9 +17,15 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     VectorAssembler,
 )
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import (
+    GBTRegressionModel,
+    GBTRegressor,
+    LinearRegression,
+    RandomForestRegressionModel,
+    RandomForestRegressor,
+)
+from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -34,7 +43,11 @@ from assay.operators.errors import (
 )
 from assay.operators.ordering import bucket_of, check_no_overlap, split_by_key, split_report, temporal_split
 from assay.plans.features import DEFAULT_INTERACTIONS, interactions
-from assay.session import names, settle
+from assay.session import names, scratch_root, settle
+
+#: Bytes of feature vectors that a partition of a training table holds about. Fits are many short jobs,
+#: so small tables have few partitions and fits run side by side.
+PARTITION_BYTES = 32 << 20
 
 # Parameter grids of the three model families.
 GRIDS = {
@@ -110,12 +123,17 @@ def standardise(df: DataFrame, column: str = "features", out: str = "scaled_feat
 
 @dataclass
 class ModelSpec:
-    """An estimator with its parameter grid."""
+    """An estimator with its parameter grid.
+
+    `rounds` names the parameter of a boosted model that only says where to stop: the model of fewer
+    rounds is the beginning of that of more, so one fit serves all values of it.
+    """
 
     name: str
     estimator: Estimator
     regressor: Estimator
     grid: dict = field(default_factory=dict)
+    rounds: str | None = None
 
     def param_maps(self) -> list:
         builder = ParamGridBuilder()
@@ -123,6 +141,14 @@ class ModelSpec:
             builder = builder.addGrid(self.regressor.getParam(parameter), values)
         return builder.build()
 
+    def shared_fits(self) -> list[list[int]]:
+        """Numbers of the combinations that one fit serves."""
+        together: dict = {}
+        for i, combination in enumerate(self.param_maps()):
+            rest = tuple((p.name, v) for p, v in combination.items() if p.name != self.rounds)
+            together.setdefault((rest, i if self.rounds not in self.grid else None), []).append(i)
+        return list(together.values())
+
 
 def spec(name: str, label: str = "resale_price", grid: dict | None = None, seed: int = 42) -> ModelSpec:
     """Specification of a model family; `grid` replaces the default parameter grid."""
@@ -132,33 +158,87 @@ def spec(name: str, label: str = "resale_price", grid: dict | None = None, seed:
         return ModelSpec(name, Pipeline(stages=[scaler(), regressor]), regressor, grid)
     kind = {"random_forest": RandomForestRegressor, "gbt": GBTRegressor}[name]
     regressor = kind(featuresCol="features", labelCol=label, seed=seed)
-    return ModelSpec(name, regressor, regressor, grid)
+    return ModelSpec(name, regressor, regressor, grid, rounds="maxIter" if name == "gbt" else None)
 
 
-def cross_validate(
-    df: DataFrame, model: ModelSpec, key: str, label: str = "resale_price", folds: int = 3, parallelism: int = 4
-) -> tuple[Model, DataFrame]:
-    """(best model by RMSE, one row per parameter combination).
+def compact(df: DataFrame, rows: int, width: int) -> DataFrame:
+    """The table in as few partitions as its vectors of `width` numbers need; never more than it has."""
+    return df.coalesce(max(1, math.ceil(rows * (width + 2) * 8 / PARTITION_BYTES)))
+
 
-    Folds come from the digest of a row key, so they do not depend on partitioning.
+def _side_by_side(spark: SparkSession, jobs: list, parallelism: int) -> list:
+    """The results of the jobs in their order. Each runs in a thread that has the caller's job properties."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        # Boosting cuts its lineage there; without it every round sends all rounds before along.
+        spark.sparkContext.setCheckpointDir(scratch_root(spark))
+    pool = ThreadPool(max(1, min(parallelism, len(jobs))))
+    try:
+        return pool.map(lambda job: inheritable_thread_target(spark)(job)(), jobs, chunksize=1)
+    finally:
+        pool.close()
+
+
+def _errors(model: ModelSpec, combinations: list[int], train: DataFrame, held_out: DataFrame, label: str) -> dict[int, float]:
+    """RMSE on the held-out rows of the combinations that one fit serves.
+
+    The error of a boosted model of fewer rounds is that of the first rounds of the longest.
     """
     maps = model.param_maps()
+    if model.rounds not in model.grid:
+        (i,) = combinations
+        evaluator = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
+        return {i: evaluator.evaluate(model.estimator.fit(train, maps[i]).transform(held_out))}
+    rounds = {i: maps[i][model.regressor.getParam(model.rounds)] for i in combinations}
+    longest = max(rounds, key=rounds.get)
+    squares = model.estimator.fit(train, maps[longest]).evaluateEachIteration(held_out, "squared")
+    return {i: math.sqrt(squares[n - 1]) for i, n in rounds.items()}
+
+
+def _described(combination: dict) -> str:
+    return ", ".join(f"{p.name}={v}" for p, v in sorted(combination.items(), key=lambda e: e[0].name))
+
+
+def search(
+    df: DataFrame, models: list[ModelSpec], key: str, label: str = "resale_price", folds: int = 3, parallelism: int | None = None
+) -> tuple[dict[str, Model], DataFrame]:
+    """(the best model of each family by mean RMSE over the folds, one row per parameter combination).
+
+    Folds come from the digest of a row key, so they do not depend on partitioning. The fits of all
+    families, combinations and folds run side by side, the longest first, as many as the cluster has
+    cores for their partitions. The best of each family is then fitted on all rows.
+    """
+    spark = df.sparkSession
     rows = df.withColumn("_fold", bucket_of(key, folds, seed=7).cast("int"))
-    search = CrossValidator(
-        estimator=model.estimator,
-        estimatorParamMaps=maps,
-        evaluator=RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse"),
-        numFolds=folds,
-        foldCol="_fold",
-        parallelism=parallelism,
-    )
-    fitted = search.fit(rows)
-    table = [
-        (model.name, i, ", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda e: e[0].name)), float(r))
-        for i, (m, r) in enumerate(zip(maps, fitted.avgMetrics))
-    ]
-    metrics = df.sparkSession.createDataFrame(table, "model string, combo int, params string, rmse double")
-    return fitted.bestModel, metrics
+    parallelism = parallelism or max(1, spark.sparkContext.defaultParallelism // df.rdd.getNumPartitions())
+    tried = [(m, fit, fold) for m in models for fit in m.shared_fits() for fold in range(folds)]
+    tried.sort(key=lambda job: -_effort(job[0], job[1]))
+
+    def job(model, fit, fold):
+        return lambda: _errors(model, fit, rows.where(F.col("_fold") != fold), rows.where(F.col("_fold") == fold), label)
+
+    sums: dict = {m.name: [0.0] * len(m.param_maps()) for m in models}
+    for (model, _, _), errors in zip(tried, _side_by_side(spark, [job(*x) for x in tried], parallelism)):
+        for i, error in errors.items():
+            sums[model.name][i] += error / folds
+    best = {m.name: m.param_maps()[min(range(len(sums[m.name])), key=sums[m.name].__getitem__)] for m in models}
+    fitted = _side_by_side(spark, [lambda m=m: m.estimator.fit(df, best[m.name]) for m in models], parallelism)
+    table = [(m.name, i, _described(c), float(sums[m.name][i])) for m in models for i, c in enumerate(m.param_maps())]
+    metrics = spark.createDataFrame(table, "model string, combo int, params string, rmse double")
+    return dict(zip((m.name for m in models), fitted)), metrics
+
+
+def _effort(model: ModelSpec, combinations: list[int]) -> float:
+    """What a fit costs, about: boosting makes its trees one after another, a forest side by side."""
+    given = {p.name: v for p, v in model.param_maps()[combinations[-1]].items()}
+    return given.get("maxIter", 0) * 1e3 * given.get("maxDepth", 0) + given.get("numTrees", 0) * given.get("maxDepth", 0)
+
+
+def cross_validate(
+    df: DataFrame, model: ModelSpec, key: str, label: str = "resale_price", folds: int = 3, parallelism: int | None = None
+) -> tuple[Model, DataFrame]:
+    """`search` with one family: (best model by RMSE, one row per parameter combination)."""
+    best, combinations = search(df, [model], key, label, folds, parallelism)
+    return best[model.name], combinations
 
 
 def importances(model: Model, columns, like: DataFrame) -> DataFrame:
@@ -220,11 +300,11 @@ def vectorise(train: DataFrame, test: DataFrame, key: str, label: str, keep=())
     train, test = encoded(train), encoded(test)
     inputs = [c for c in [*NUMERIC_INPUTS, *[f"{c}_index" for c in categories]] if c in train.columns]
     columns = list(dict.fromkeys([key, "features", label, *keep]))
-    return Vectors(
-        settle(assemble(train, inputs).select(*columns), "train"),
-        settle(assemble(test, inputs).select(*columns), "test"),
-        inputs,
-    )
+    train, test = (settle(assemble(df, inputs).select(*columns), "vectors") for df in (train, test))
+    return Vectors(compact(train, train.count(), len(inputs)), test, inputs)
+
+
+MODEL_KINDS = {kind.__name__: kind for kind in (PipelineModel, RandomForestRegressionModel, GBTRegressionModel)}
 
 
 @dataclass
@@ -237,6 +317,31 @@ class Comparison:
     inputs: list[str]
     test: DataFrame
 
+    def save(self, path: str) -> None:
+        """Tables and models under one folder, from which `load` brings the comparison back in any session."""
+        spark = self.metrics.sparkSession
+        for name, model in self.models.items():
+            model.write().overwrite().save(f"{path}/models/{name}")
+        kinds = [(i, name, type(model).__name__) for i, (name, model) in enumerate(self.models.items())]
+        inputs = spark.createDataFrame(list(enumerate(self.inputs)), "place int, input string")
+        tables = {
+            "test": self.test, "combinations": self.combinations, "metrics": self.metrics, "inputs": inputs,
+            "kinds": spark.createDataFrame(kinds, "place int, model string, kind string"),
+        }
+        for name, table in tables.items():
+            table.write.mode("overwrite").parquet(f"{path}/{name}")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Comparison:
+        kinds = spark.read.parquet(f"{path}/kinds").orderBy("place").collect()
+        return cls(
+            spark.read.parquet(f"{path}/metrics"),
+            spark.read.parquet(f"{path}/combinations"),
+            {r["model"]: MODEL_KINDS[r["kind"]].load(f"{path}/models/{r['model']}") for r in kinds},
+            [r["input"] for r in spark.read.parquet(f"{path}/inputs").orderBy("place").collect()],
+            spark.read.parquet(f"{path}/test"),
+        )
+
     def best(self) -> str:
         return rank_models(self.metrics).first()["model"]
 
@@ -257,22 +362,20 @@ def train_and_compare(
     keep=(),
     fraction: float = 0.8,
     folds: int = 3,
-    parallelism: int = 4,
+    parallelism: int | None = None,
 ) -> Comparison:
-    """Split by key digest, encode, cross-validate each model and measure it on the test rows."""
+    """Split by key digest, encode, cross-validate all models and measure the best ones on the test rows."""
     train, test = split_by_key(settle(df, "compared"), key, fraction)
     vectors = vectorise(train, test, key, label, keep)
-    models, tables, rows = {}, [], []
-    for model in specs:
-        models[model.name], combos = cross_validate(vectors.train, model, key, label, folds, parallelism)
-        tables.append(combos)
-        best = combos.orderBy("rmse", "combo").first()
-        scored = models[model.name].transform(vectors.test)
-        test_row = regression_metrics(scored, label).head().asDict()
-        rows.append((model.name, best["params"], best["rmse"], *[test_row[m] for m in ("rmse", "mae", "r2", "mape")]))
+    models, combinations = search(vectors.train, specs, key, label, folds, parallelism)
+    rows = []
+    for name, model in models.items():
+        best = combinations.where(F.col("model") == name).orderBy("rmse", "combo").first()
+        test_row = regression_metrics(model.transform(vectors.test), label).head().asDict()
+        rows.append((name, best["params"], best["rmse"], *[test_row[m] for m in ("rmse", "mae", "r2", "mape")]))
     schema = "model string, params string, cv_rmse double, rmse double, mae double, r2 double, mape double"
     metrics = df.sparkSession.createDataFrame(rows, schema)
-    return Comparison(metrics, reduce(DataFrame.union, tables), models, vectors.inputs, vectors.test)
+    return Comparison(metrics, combinations, models, vectors.inputs, vectors.test)
 
 
 def residual_report(predictions: DataFrame, actual: str, by, bins: int = 80, min_n: int = 50) -> dict[str, DataFrame]:
@@ -296,7 +399,7 @@ def out_of_time(
     by=("town",),
     random_metrics: DataFrame | None = None,
     folds: int = 3,
-    parallelism: int = 4,
+    parallelism: int | None = None,
 ) -> dict[str, DataFrame]:
     """Refit on rows before the cutoff and measure on the later ones.
 

@@ -7,7 +7,7 @@ from assay.operators.columns import align_schema
 from assay.operators.quantiles import group_median
 from assay.operators.periods import rolling_mean
 from assay.plans import checks as K
-from assay.plans.cleaning import config_clean, derive_config, finish
+from assay.plans.cleaning import CATEGORICALS, config_clean, derive_config, finish
 from assay.plans.features import DISTANCE_FEATURES, FeatureConfig, Interaction, Sources, engineer, time_features
 from assay.queries.columns import PRICE_SCHEMA
 from assay.queries.lookups import GROWN, PAIRS
@@ -30,12 +30,16 @@ CLEAN = """typed as (select txn_id, try_cast(concat(month, '-01') as date) as mo
   and resale_price between q1 - 0.4e0 * (q3 - q1) and q3 + 0.4e0 * (q3 - q1))"""
 
 
-def cleaned(t, threshold=0.4):
+def cleaned_with_log(t, threshold=0.4):
     # Text is typed and written once; profiling, quartiles and cleaning then read columns of that.
     raw = settle(align_schema(t.role("txn"), KEYED_SCHEMA, "all"), "typed")
     config = derive_config(raw, outlier_threshold=threshold)
-    rows, _ = config_clean(raw, config)
-    return finish(rows)
+    rows, log = config_clean(raw, config)
+    return finish(rows), log
+
+
+def cleaned(t, threshold=0.4):
+    return cleaned_with_log(t, threshold)[0]
 
 
 @query(
@@ -49,6 +53,29 @@ def config_clean_query(t):
     return cleaned(t).drop("block", "street_name", "storey_range")
 
 
+LOGGED = [
+    *[("trim_uppercase", c) for c in CATEGORICALS], ("parse_yyyymm_date", "month"), ("derive_year_month", "month"),
+    ("parse_storey_range", "storey_range"), ("standardise_values", "flat_type"), ("compute_remaining_lease", "lease_commence_date"),
+    ("drop_column", "remaining_lease"), ("drop_column", "_source"), ("flag_outliers_iqr", "resale_price"),
+]
+#: Columns of the raw table that may have nulls or blanks, and so may be asked to have none.
+EMPTYABLE = ["month", "town", "flat_type", "block", "street_name", "storey_range", "lease_commence_date", "resale_price"]
+
+
+@query(
+    "cleaning_log",
+    "select step, \"column\", 'applied' as status from (values " + ", ".join(map(str, LOGGED)) + """) as steps(step, "column")
+     union all select 'drop_nulls', 'floor_area_sqm', 'applied' where (select count(*) from txn where try_cast(floor_area_sqm as double) is null) > 0
+     """ + " ".join(
+        f"union all select 'drop_nulls', '{c}', 'applied' where (select count(*) from txn where {c} is null or trim({c}) = '') > 0" for c in EMPTYABLE
+    ),
+    "txn",
+)
+def cleaning_log(t):
+    """The steps that the derived configuration asked for, and what became of each."""
+    return cleaned_with_log(t)[1]
+
+
 TREND = f"""with {CLEAN},
  m as (select month, flat_type, quantile_disc(resale_price, 0.5) as median_price from cleaned group by 1, 2)
  select month, flat_type, {r6('median_price', 'median_price')},

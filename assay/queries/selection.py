@@ -51,6 +51,24 @@ def rolling_mean_query(t):
     return rolling_mean(medians, "flat_type", "month", "median", 6)
 
 
+SERIES = "partition by l_returnflag order by l_shipdate, l_orderkey, l_linenumber"
+
+
+@query(
+    "long_series",
+    f"""select l_orderkey, l_linenumber, {r6(f'avg(l_quantity) over ({SERIES} rows between 5 preceding and current row)', 'trend')},
+     {r6(f'coalesce((l_quantity - lag(l_quantity) over ({SERIES})) / lag(l_quantity) over ({SERIES}), 0e0)', 'l_quantity_growth')}
+     from lineitem""",
+)
+def long_series(t):
+    """Three series of all lines, each over several tasks."""
+    order = ["l_shipdate", "l_orderkey", "l_linenumber"]
+    rows = t.table("lineitem").select("l_returnflag", *order, "l_quantity")
+    smooth = rolling_mean(rows, "l_returnflag", order, "l_quantity", 6, "trend", block_rows=5000)
+    both = growth(smooth, order, "l_quantity", "l_returnflag", block_rows=5000)
+    return both.select("l_orderkey", "l_linenumber", "trend", "l_quantity_growth")
+
+
 @query(
     "zscore_flag",
     """with s as (select town, avg(resale_price) as m, stddev_samp(resale_price) as s from deals group by town),
@@ -89,7 +107,7 @@ def order_by(t):
     "deals",
 )
 def top_k_groups(t):
-    medians = settle(exact_quantiles(t.role("deals"), "resale_price", {"median": 0.5}, "town"), "medians")
+    medians = exact_quantiles(t.role("deals"), "resale_price", {"median": 0.5}, "town")
     high = O.top_k(medians, "median", 10, "town").withColumn("side", F.lit("high"))
     return high.union(O.top_k(medians, "median", 10, "town", True).withColumn("side", F.lit("low")))
 

@@ -1,5 +1,8 @@
 """Queries of sources and sinks."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assay.operators.columns import drop_blank
@@ -8,7 +11,7 @@ from assay.session import scratch_path
 from assay.sources.files import (
     ingest, materialise, parse_csv_lines, read_csv, tag_source, write_table,
 )
-from assay.sources.nested import geojson_points, html_attributes, read_geojson_lines
+from assay.sources.nested import geojson_points, html_attributes, read_geojson_features, read_geojson_lines
 from assay.sources.records import Rule, split_valid
 
 
@@ -84,7 +87,7 @@ GEOJSON = """concat('{{"type":"FeatureCollection","features":[{{"properties":{{"
      cast(cast(103.6e0 + (c_custkey % 1000) * 0.0004e0 as decimal(9,4)) as double) as lon,
      c_name as name, case when c_custkey % 13 <> 0 then c_custkey % 50 end as stalls,
      case when c_custkey % 3 <> 0 then lpad(cast(c_custkey as varchar), 6, '0') end as postal_code
-     from customer, (values ('collection'), ('lines')) forms(form) where c_custkey % 11 <> 0 and c_custkey % 5 <> 0""",
+     from customer, (values ('collection'), ('lines'), ('split')) forms(form) where c_custkey % 11 <> 0 and c_custkey % 5 <> 0""",
 )
 def geojson_points_query(t):
     docs = t.spark.sql(f"select c_custkey, {GEOJSON} as doc from {{c}}", c=t.table("customer"))
@@ -96,9 +99,17 @@ def geojson_points_query(t):
     path = scratch_path(t.spark, "geojson")
     docs.select(F.get_json_object("doc", "$.features[0]").alias("value")).write.text(path)
     lines = geojson_points(read_geojson_lines(t.spark, path), "value", properties, single=True, **wanted)
-    lines = lines.withColumn("c_custkey", F.regexp_extract("name", r"\d+", 0).cast("bigint"))
-    parts = [df.withColumn("form", F.lit(form)) for df, form in ((whole, "collection"), (lines, "lines"))]
-    return parts[0].unionByName(parts[1])
+    # All of them as one collection in one file, which is then read in parts.
+    one = scratch_path(t.spark, "geojson")
+    edge = lambda text: t.spark.range(1).select(F.lit(text).alias("value"))
+    members = docs.select(F.concat(F.regexp_extract("doc", r"(?s)\[(.*)\]\}$", 1), F.lit(",")).alias("value"))
+    head, end = edge('{"type":"FeatureCollection","features":['), edge('{"properties":null,"geometry":null}]}')
+    head.union(members).union(end).coalesce(1).write.text(one)
+    split = geojson_points(read_geojson_features(t.spark, one), "value", properties, single=True, **wanted)
+    key = F.regexp_extract("name", r"\d+", 0).cast("bigint")
+    parts = [whole.withColumn("form", F.lit("collection"))]
+    parts += [df.withColumns({"c_custkey": key, "form": F.lit(form)}) for df, form in ((lines, "lines"), (split, "split"))]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query(

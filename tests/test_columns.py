@@ -5,6 +5,7 @@ from assay.operators import columns as C
 from assay.operators import sets as S
 from assay.operators.reshape import melt_years, pick_series
 from assay.queries.columns import PRICE_SCHEMA
+from assay.session import scratch_path, settle
 
 
 def rows(df, *order):
@@ -126,3 +127,21 @@ def test_melt_years_keeps_only_years_in_range(frame):
     long = melt_years(df, "series")
     assert set(rows(long)) == {("Income", 2001, 10591.0), ("Income", 2000, None)}
     assert rows(pick_series(long, "series", "Income", "v"), "year") == [(2000, None), (2001, 10591.0)]
+
+
+def test_counts_are_observed_in_the_scan_that_writes_the_rows(spark, monkeypatch):
+    plans = []
+
+    def recorded(df, label="table"):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return settle(df, label)
+
+    path = scratch_path(spark, "observed")
+    spark.range(100).selectExpr("id", "if(id % 4 = 0, null, id * 1.0D) as lat", "id % 5 = 0 as flag").write.parquet(path)
+    monkeypatch.setattr(C, "settle", recorded)
+    for call, removed in ((lambda df: C.drop_missing(df, ["lat"]), 25), (lambda df: C.remove_flagged(df, "flag"), 20)):
+        kept, stats = call(spark.read.parquet(path))
+        assert tuple(stats.first()) == (100, removed, float(removed)) and kept.count() == 100 - removed
+        assert plans[-1].count("FileScan") == 1 and "CollectMetrics" in plans[-1]
+        assert "assay-observed" not in stats._jdf.queryExecution().executedPlan().toString()
+    assert len(plans) == 2

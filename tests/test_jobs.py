@@ -1,4 +1,5 @@
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -48,6 +49,42 @@ def test_unknown_and_unfit_steps_are_skipped(raw):
     assert len(C.STEPS) == 13
 
 
+def test_order_comes_from_declarations(monkeypatch):
+    """However steps, treatments and columns are listed, the plan is one, and it keeps what the steps need."""
+    config = C.CleaningConfig(drop_nulls=("month", "floor_area_sqm", "remaining_lease"), drop_columns=("_source", "block"))
+    columns = [*PRICE_SCHEMA.fieldNames(), "_source"]
+    plan = C.steps_of(config, columns)
+    for seed in range(5):
+        shuffle = random.Random(seed)
+        for name in ("STEPS", "TREATMENTS"):
+            items = list(getattr(C, name).items())
+            shuffle.shuffle(items)
+            monkeypatch.setattr(C, name, dict(items))
+        shuffle.shuffle(columns)
+        assert C.steps_of(config, columns) == plan
+        steps = [(s.name, s.column) for s in plan]
+        shuffle.shuffle(steps)
+        assert C.in_order([C.Step(*s) for s in steps]) == C.in_order([C.Step(s.name, s.column) for s in plan])
+    place = {(s.name, s.column): n for n, s in enumerate(plan)}
+    assert len(place) == len(plan) > 14
+    for earlier, later in [
+        (("parse_yyyymm_date", "month"), ("derive_year_month", "month")),
+        (("derive_year_month", "month"), ("compute_remaining_lease", "lease_commence_date")),
+        (("trim_uppercase", "flat_type"), ("standardise_values", "flat_type")),
+        (("parse_yyyymm_date", "month"), ("drop_nulls", "month")),
+        (("trim_uppercase", "block"), ("drop_column", "block")),
+        (("drop_nulls", "floor_area_sqm"), ("flag_outliers_iqr", "resale_price")),
+    ]:
+        assert place[earlier] < place[later]
+    assert ("drop_nulls", "remaining_lease") not in place
+
+
+def test_steps_that_wait_for_each_other_are_refused(monkeypatch):
+    monkeypatch.setattr(C, "STEPS", {"a": C.Operation(None, reads=("x",), makes=("y",)), "b": C.Operation(None, reads=("y",), makes=("x",))})
+    with pytest.raises(ValueError):
+        C.in_order([C.Step("a", "x"), C.Step("b", "y")])
+
+
 def test_zscore_config(raw):
     cleaned, _ = C.config_clean(raw, C.CleaningConfig(outlier_method="zscore", outlier_threshold=4.0))
     assert cleaned.where("resale_price_outlier").count() == 1

@@ -2,10 +2,13 @@ import datetime
 import random
 
 import pytest
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
 from assay.plans import training as M
 from assay.queries import models
+from assay.queries.registry import Inputs
+from assay.session import scratch_path
 
 
 @pytest.fixture(scope="module")
@@ -73,16 +76,81 @@ def test_out_of_time(deals):
     assert out["by_month"].agg(F.sum("n")).head()[0] == split["holdout"]["n"]
 
 
-@pytest.mark.parametrize("name", ["train_compare", "oot_validation"])
-def test_comparing_queries_try_whole_grids_of_all_families(spark, monkeypatch, name):
-    class Seen(Exception):
-        pass
+def test_comparing_queries_try_whole_grids_of_all_families(spark, monkeypatch):
+    seen = []
 
-    def compared(rows, specs, key):
-        raise Seen({s.name: len(s.param_maps()) for s in specs})
+    class Nothing:
+        def save(self, path):
+            pass
+
+    def compared(rows, specs, key, keep):
+        seen.append({s.name: len(s.param_maps()) for s in specs})
+        return Nothing()
 
     monkeypatch.setattr(models, "_features", lambda t: None)
+    monkeypatch.setattr(models, "_WRITTEN", {})
     monkeypatch.setattr(M, "train_and_compare", compared)
-    with pytest.raises(Seen) as seen:
-        getattr(models, name)(None)
-    assert seen.value.args[0] == {"linear_regression": 12, "random_forest": 8, "gbt": 8}
+    monkeypatch.setattr(M.Comparison, "load", lambda spark, path: path)
+    inputs = Inputs(spark, "/folder")
+    assert models._compared(inputs) == models._compared(inputs)
+    assert seen == [{"linear_regression": 12, "random_forest": 8, "gbt": 8}]
+
+
+@pytest.fixture(scope="module")
+def vectors(deals):
+    train, test = deals.where("id % 4 > 0"), deals.where("id % 4 = 0")
+    return M.vectorise(train, test, "id", "resale_price")
+
+
+def test_errors_of_the_first_rounds_are_those_of_an_own_fit(vectors):
+    model = M.spec("gbt", grid={"maxIter": [3, 7], "maxDepth": [2, 3], "stepSize": [0.3]})
+    assert sorted(map(len, model.shared_fits())) == [2, 2]
+    evaluator = RegressionEvaluator(labelCol="resale_price", predictionCol="prediction", metricName="rmse")
+    maps = model.param_maps()
+    for together in model.shared_fits():
+        shared = M._errors(model, together, vectors.train, vectors.test, "resale_price")
+        for i in together:
+            own = evaluator.evaluate(model.estimator.fit(vectors.train, maps[i]).transform(vectors.test))
+            assert shared[i] == pytest.approx(own, rel=1e-9)
+
+
+def test_families_without_rounds_fit_each_combination():
+    assert M.spec("random_forest").shared_fits() == [[i] for i in range(8)]
+    assert M.spec("linear_regression").shared_fits() == [[i] for i in range(12)]
+    assert sum(map(len, M.spec("gbt").shared_fits())) == 8 and len(M.spec("gbt").shared_fits()) == 4
+    assert M.spec("gbt", grid={"maxDepth": [2, 3]}).shared_fits() == [[0], [1]]
+
+
+def test_search_agrees_with_one_fit_after_another(vectors):
+    grids = {"linear_regression": {"regParam": [0.001, 1.0]}, "gbt": {"maxIter": [2, 4], "maxDepth": [2]}}
+    specs = [M.spec(name, grid=grid) for name, grid in grids.items()]
+    best, combos = M.search(vectors.train, specs, "id", folds=2)
+    evaluator = RegressionEvaluator(labelCol="resale_price", predictionCol="prediction", metricName="rmse")
+    rows = vectors.train.withColumn("_fold", M.bucket_of("id", 2, seed=7))
+    got = {(r["model"], r["combo"]): r["rmse"] for r in combos.collect()}
+    for model in specs:
+        for i, combination in enumerate(model.param_maps()):
+            errors = [
+                evaluator.evaluate(model.estimator.fit(rows.where(F.col("_fold") != k), combination).transform(rows.where(F.col("_fold") == k)))
+                for k in range(2)
+            ]
+            assert got[model.name, i] == pytest.approx(sum(errors) / 2)
+    assert set(best) == set(grids)
+
+
+def test_small_tables_have_few_partitions(vectors, spark):
+    assert vectors.train.rdd.getNumPartitions() == 1
+    assert M.compact(spark.range(100, numPartitions=8), 10**9, 27).rdd.getNumPartitions() == 8
+
+
+def test_comparison_comes_back_from_its_folder(deals, spark):
+    specs = [M.spec("linear_regression", grid={"regParam": [0.01]}), M.spec("gbt", grid={"maxIter": [3]}), M.spec("random_forest", grid={"numTrees": [2]})]
+    made = M.train_and_compare(deals, specs, "id", folds=2)
+    path = scratch_path(spark, "comparison")
+    made.save(path)
+    loaded = M.Comparison.load(spark, path)
+    assert loaded.inputs == made.inputs and list(loaded.models) == list(made.models)
+    assert sorted(map(tuple, loaded.metrics.collect())) == sorted(map(tuple, made.metrics.collect()))
+    for name in made.models:
+        a, b = (sorted((r["id"], r["prediction"]) for r in x.predictions(name).collect()) for x in (made, loaded))
+        assert a == b

@@ -3,8 +3,10 @@ import random
 import numpy as np
 import pytest
 
+from assay.operators import quantiles
 from assay.operators.outliers import flag_iqr, flag_zscore
 from assay.operators.quantiles import exact_quantiles, group_median, sketched_quantiles
+from assay.session import settle
 
 PROBS = {"p0": 0.0, "p05": 0.05, "q1": 0.25, "m": 0.5, "q3": 0.75, "p95": 0.95, "p1": 1.0}
 
@@ -31,33 +33,79 @@ def values(kind, n=3000):
 def test_equals_numpy(frame, kind, leaf, bins):
     data = values(kind)
     df = frame([(v,) for v in data] + [(None,), (float("nan"),)], "x double")
-    row = exact_quantiles(df, "x", PROBS, leaf_rows=leaf, bins=bins).head()
+    row = exact_quantiles(df, "x", PROBS, leaf_rows=leaf, bins=bins, sketch_k=0).head()
     for name, p in PROBS.items():
         assert row[name] == pytest.approx(np.quantile(data, p), rel=1e-12), name
 
 
+@pytest.mark.parametrize("kind", ["normal", "ties", "one", "outlier", "scales", "hot", "few", "single"])
+@pytest.mark.parametrize("discrete", [False, True])
+def test_seeded_equals_numpy(frame, monkeypatch, kind, discrete):
+    monkeypatch.setattr(quantiles, "_narrowed", None)  # the sketch is enough
+    data = values(kind)
+    df = frame([(v,) for v in data] + [(None,), (float("nan"),)], "x double").repartition(3)
+    row = exact_quantiles(df, "x", PROBS, discrete=discrete, sketch_k=400, margin=0.02).head()
+    for name, p in PROBS.items():
+        want = np.quantile(data, p, method="inverted_cdf" if discrete else "linear")
+        assert row[name] == pytest.approx(want, rel=1e-12), name
+
+
+@pytest.mark.parametrize("options", [{"sketch_k": 8, "margin": 0.0014}, {"seeded_rows": 0}])
+def test_missed_ranks_and_very_large_groups_are_narrowed(frame, monkeypatch, options):
+    used = []
+    narrowed = quantiles._narrowed
+    monkeypatch.setattr(quantiles, "_narrowed", lambda *a: used.append(1) or narrowed(*a))
+    data = values("normal")
+    row = exact_quantiles(frame([(v,) for v in data], "x double").repartition(4), "x", PROBS, **options).head()
+    assert used
+    for name, p in PROBS.items():
+        assert row[name] == pytest.approx(np.quantile(data, p), rel=1e-12), name
+
+
+def test_column_is_read_twice(spark, monkeypatch):
+    """Once for the sketch and once for the counts, which shuffle a small part of the values."""
+    plans = []
+
+    def recorded(df, label="table"):
+        out = settle(df, label)
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString(), out.count()))
+        return out
+
+    monkeypatch.setattr(quantiles, "settle", recorded)
+    df = spark.range(100_000, numPartitions=4).selectExpr("id % 3 as g", "cast(hash(id) as double) as x")
+    got = {r["g"]: r["m"] for r in exact_quantiles(df, "x", {"m": 0.5}, "g").collect()}
+    assert [label for label, *_ in plans] == ["values", "seeds", "found"]
+    assert all(plan.count("assay-values") == 1 for label, plan, _ in plans if label != "values")
+    everything = df.toPandas()
+    assert got == {g: pytest.approx(v) for g, v in everything.groupby("g")["x"].median().items()}
+
+
 def test_discrete_quantiles(frame):
     data = values("ties", 500) + values("normal", 500)
     df = frame([(v,) for v in data], "x double")
-    row = exact_quantiles(df, "x", PROBS, discrete=True, leaf_rows=50, bins=64).head()
+    row = exact_quantiles(df, "x", PROBS, discrete=True, leaf_rows=50, bins=64, sketch_k=0).head()
     for name, p in PROBS.items():
         assert row[name] == np.quantile(data, p, method="inverted_cdf"), name
 
 
-def test_groups_with_null_keys_and_empty_groups(frame):
+@pytest.mark.parametrize("sketch_k", [0, 50])
+def test_groups_with_null_keys_and_empty_groups(frame, sketch_k):
     groups = {"a": values("normal", 500), None: values("ties", 400), "c": [1.0, 2.0]}
     rows = [(g, v) for g, data in groups.items() for v in data] + [("empty", None)]
     df = frame(rows, "g string, x double")
-    got = {r["g"]: r for r in exact_quantiles(df, "x", {"m": 0.5, "q3": 0.75}, "g", leaf_rows=20, bins=5).collect()}
+    options = {"leaf_rows": 20, "bins": 5, "sketch_k": sketch_k}
+    got = {r["g"]: r for r in exact_quantiles(df, "x", {"m": 0.5, "q3": 0.75}, "g", **options).collect()}
     assert set(got) == set(groups)
     for g, data in groups.items():
         assert got[g]["m"] == pytest.approx(np.quantile(data, 0.5))
         assert got[g]["q3"] == pytest.approx(np.quantile(data, 0.75))
 
 
-def test_infinite_values_are_ordered(frame):
+@pytest.mark.parametrize("sketch_k", [0, 50])
+def test_infinite_values_are_ordered(frame, sketch_k):
     df = frame([(float("-inf"),), (1.0,), (2.0,), (3.0,), (float("inf"),)], "x double")
-    assert exact_quantiles(df, "x", {"m": 0.5, "q1": 0.25}, leaf_rows=1, bins=4).head().asDict() == {"m": 2.0, "q1": 1.0}
+    options = {"leaf_rows": 1, "bins": 4, "sketch_k": sketch_k}
+    assert exact_quantiles(df, "x", {"m": 0.5, "q1": 0.25}, **options).head().asDict() == {"m": 2.0, "q1": 1.0}
 
 
 def test_no_values(frame):

@@ -1,3 +1,4 @@
+import random
 import json
 
 import pytest
@@ -6,7 +7,7 @@ from assay.session import scratch_path
 from assay.sources.files import (
     ingest, is_complete, materialise, parse_csv_lines, read_csv, tag_source, write_table,
 )
-from assay.sources.nested import geojson_points, html_attributes, read_geojson
+from assay.sources.nested import geojson_points, html_attributes, read_geojson, read_geojson_features
 from assay.sources.records import Rule, split_valid
 
 FEATURES = {
@@ -144,3 +145,51 @@ def test_header_lines_of_payloads(frame):
 
     lines = frame([("id,name", 0), ("1,a", 1), ("id,name", 0), ("2,b", 1)], "value string, place int")
     assert [tuple(r) for r in parse_csv_lines(lines, "id int, name string", position="place").collect()] == [(1, "a"), (2, "b")]
+
+
+def collection(n, indent, seed):
+    r = random.Random(seed)
+    odd = ["plain", "brace } in text", "{ open", 'quoted \\" }', "back\\\\slash\\\\", "[1, 2]", '"features":[', "tab\\t}", "é ]}", ""]
+    features = []
+    for i in range(n):
+        name = f"{r.choice(odd)} {i}"
+        properties = {"NAME": name, "note": r.choice(odd), "deep": r.choice(odd) * r.randint(0, 4)}
+        kind = i % 4
+        geometry = {"type": "Point", "coordinates": [103 + i / 1000, 1 + i / 1000][: 1 if kind == 1 else 2]}
+        features.append({"type": "Feature", "properties": None if kind == 2 else properties, "geometry": None if kind == 3 else geometry})
+    whole = {"type": "FeatureCollection", "name": 'a "features" list }', "crs": {"type": "name", "properties": {"name": "x"}}, "features": features}
+    return features, json.dumps({**whole, "bbox": [1, 2], "more": {"a": "}"}}, indent=indent, ensure_ascii=seed % 2 == 0)
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+@pytest.mark.parametrize("bytes_each", [97, 1500])
+def test_one_collection_is_read_in_parts(spark, tmp_path, indent, bytes_each):
+    want = []
+    for seed in (1, 2):
+        features, text = collection(60, indent, seed)
+        (tmp_path / f"{seed}.geojson").write_text(text, encoding="utf8")
+        want += features
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(bytes_each))
+    try:
+        parts = spark.read.option("lineSep", "}").text(str(tmp_path)).rdd.getNumPartitions()
+        got = [r["value"] for r in read_geojson_features(spark, str(tmp_path)).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert parts > 10
+    key = lambda f: json.dumps(f, sort_keys=True)
+    assert sorted(key(json.loads(v)) for v in got) == sorted(map(key, want))
+
+
+def test_parts_give_the_points_of_the_whole_file(spark, tmp_path):
+    (tmp_path / "a.geojson").write_text(collection(80, 1, 3)[1], encoding="utf8")
+    options = {"properties": {"NAME": "name"}, "required": ["NAME"]}
+    whole = geojson_points(read_geojson(spark, str(tmp_path)), "value", **options)
+    parts = geojson_points(read_geojson_features(spark, str(tmp_path)), "value", single=True, **options)
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, parts.collect())) and whole.count() == 20
+
+
+@pytest.mark.parametrize("text", ["", "{}", '{"type":"FeatureCollection","features":[]}', '{"features":[]}\n', "not json"])
+def test_collections_without_features(spark, tmp_path, text):
+    (tmp_path / "a.geojson").write_text(text)
+    assert read_geojson_features(spark, str(tmp_path)).isEmpty()

@@ -2,6 +2,7 @@ import datetime
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from assay.operators import aggregates as A
 from assay.operators import errors as E
 from assay.operators import ordering as O
 from assay.operators import trends as Tr
+from assay.operators.gram import gram
 from assay.plans.checks import ColumnRules, Expectation, gate, proceed, violations
 
 
@@ -86,6 +88,24 @@ def test_correlations_without_variance(table, frame):
     assert empty.count() == 4 and empty.where("r is not null").isEmpty() and A.high_corr(empty).isEmpty()
 
 
+def test_hundreds_of_columns(spark):
+    """300 columns in one aggregate; far-off, tiny, constant and repeated ones keep their digits."""
+    k, n = 300, 400
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(n, k)) * 10.0 ** rng.integers(-6, 7, k) + 10.0 ** rng.integers(0, 6, k)
+    x[:, 1:60] += x[:, :1] * 3
+    x[:, 7], x[:, 9] = 0.1, x[:, 8]
+    columns = [f"c{i}" for i in range(k)]
+    df = spark.createDataFrame(pd.DataFrame(x, columns=columns)).repartition(4)
+    got = gram(df, columns)
+    varied = [i for i in range(k) if i != 7]
+    assert got.n == n and got.varies().sum() == k - 1
+    assert np.allclose(got.correlation()[np.ix_(varied, varied)], np.corrcoef(x[:, varied].T), atol=1e-9)
+    assert np.allclose(got.raw_products(), x.T @ x, rtol=1e-9)
+    matrix = A.corr_matrix(df, columns)
+    assert matrix.count() == k * k and matrix.where("r is null").count() == 2 * k - 1
+
+
 def test_vif_of_combinations_is_infinite(table):
     got = {r["feature"]: r["vif"] for r in Tr.vif(table.withColumn("w", F.col("x") * 2), ["x", "y", "w"]).collect()}
     assert got["x"] == got["w"] == float("inf")
