@@ -193,10 +193,13 @@ def fit_chain(df: DataFrame, labels: DataFrame, categories: Sequence[str], key:
 
     The probabilities of earlier categories that a later model learns from are out of fold: those of a
     row come from a model that has not seen the row's fold. The models that score are fitted on all
-    folds. Each fit is one task over the bounded sample (`SAMPLE_ROWS`); folds are fitted side by side.
+    folds. Of rows with one key the least features count, of its labels the least, so the sample has one
+    row for a key however often it occurs. Each fit is one task over the bounded sample (`SAMPLE_ROWS`); folds are fitted side by side.
     """
     known = labels.select(F.col(key).alias("key"), *[F.col(c).cast("int").alias(f"l{i}") for i, c in enumerate(categories)])
-    known = known.where(" and ".join(["key is not null", *[f"l{i} in (0, 1)" for i in range(len(categories))]])).dropDuplicates(["key"])
+    known = known.where(" and ".join(["key is not null", *[f"l{i} in (0, 1)" for i in range(len(categories))]]))
+    marks = F.struct(*[f"l{i}" for i in range(len(categories))])
+    known = known.groupBy("key").agg(F.min(marks).alias("marks")).select("key", "marks.*")
     digest = F.md5(F.col("key").cast("string"))
     chosen = known.orderBy(digest, "key").limit(SAMPLE_ROWS)
     fold = F.pmod(F.crc32(F.reverse(digest)), F.lit(FOLDS)).cast("int")
@@ -215,12 +218,12 @@ def fit_chain(df: DataFrame, labels: DataFrame, categories: Sequence[str], key:
             )
 
     kind = texts.schema["key"].dataType.simpleString()
-    sample = settle(
-        texts.select("key", "text", fold.alias("fold"), F.array(*[f"l{i}" for i in range(n)]).alias("labels")).mapInArrow(
-            run, f"key {kind}, fold int, labels array<int>, at binary, values binary, dense array<double>"
-        ),
-        "toxicity-sample",
-    ).withColumn("earlier", F.array().cast("array<double>"))
+    made = texts.select("key", "text", fold.alias("fold"), F.array(*[f"l{i}" for i in range(n)]).alias("labels")).mapInArrow(
+        run, f"key {kind}, fold int, labels array<int>, at binary, values binary, dense array<double>"
+    )
+    # One row for each key, before anything moves, so that a repeated key neither weighs more nor multiplies rows.
+    one = made.groupBy("key", "fold", "labels").agg(F.min(F.struct("at", "values", "dense")).alias("v"))
+    sample = settle(one.select("key", "fold", "labels", "v.*"), "toxicity-sample").withColumn("earlier", F.array().cast("array<double>"))
     chain = []
     for c in range(n):
         # One group per fold to leave out, and one that leaves out none.
@@ -304,7 +307,7 @@ def classify(
     """key, probabilities (one per category) and flags for every row of `df`.
 
     The chain learns from the labelled rows among `df`: labels other than 0 and 1 and null keys are
-    left out, of repeated keys one label row counts. Without labelled rows all probabilities are 0.5
+    left out, of repeated keys one label row and one text count. Without labelled rows all probabilities are 0.5
     and no flag is set. Null texts count as empty. Repeated rows and null keys keep a row each; extra
     columns are not read; an empty table gives an empty result.
     """
