@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import base64
+import json
+import re
 import zlib
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -12,25 +15,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from assay.operators.ordering import positions
 from assay.session import settle
 
 PART_ROWS = 200_000
-ROUNDS = 4
 CACHE_ENTRIES = 300_000
 
 
+def added_tokens(vocabulary_path: str) -> dict[str, int]:
+    """The tokens of a vocabulary file that are found in a text before it is cut into words.
+
+    Only those that are matched as they stand, without regard to what is around them, are known here.
+    """
+    with open(vocabulary_path) as source:
+        listed = json.load(source)["added_tokens"]
+    odd = [t["content"] for t in listed if any(t[flag] for flag in ("single_word", "lstrip", "rstrip", "normalized"))]
+    if odd:
+        raise ValueError(f"added tokens with conditions: {odd}")
+    return {t["content"]: t["id"] for t in listed}
+
+
 class ChunkEncoder(dict):
-    """Token ids, as little-endian 32-bit bytes, of texts cut at single spaces.
+    """Token ids, as little-endian 32-bit bytes, of texts cut at added tokens and at single spaces.
 
-    A byte-level BPE attaches one space to the word after it, so between two characters that are not
+    `added` gives the ids of texts that are one token wherever they occur, the longest first. A byte-level BPE attaches one space to the word after it, so between two characters that are not
     white space a text can be cut before a space without changing its ids. A chunk for which that does
     not hold maps to None.
     """
 
-    def __init__(self, ranks_path: str, pattern: str):
+    def __init__(self, ranks_path: str, pattern: str, added: dict[str, int] | None = None):
         super().__init__()
         import tiktoken
 
+        self.added = {token: np.array([i], "<u4").tobytes() for token, i in (added or {}).items()}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.whole = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.added else None
+
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.encoding = tiktoken.Encoding("documents", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
@@ -46,6 +66,15 @@ class ChunkEncoder(dict):
         return found
 
     def encode(self, text: str) -> bytes:
+        if self.whole is None:
+            return self.words(text)
+        parts = self.whole.split(text)
+        if len(parts) == 1:
+            return self.words(text)
+        return b"".join(self.added[part] if n % 2 else self.words(part) for n, part in enumerate(parts))
+
+    def words(self, text: str) -> bytes:
+        """The ids of a text without added tokens."""
         first, *rest = text.split(" ")
         if not rest or not first or first[-1].isspace():
             return self.ids(text)
@@ -58,7 +87,9 @@ class ChunkEncoder(dict):
 _ENCODERS: dict[tuple, ChunkEncoder] = {}
 
 
-def pieces(df: DataFrame, ranks_path: str, pattern: str, end_id: int, capacity: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+def pieces(
+    df: DataFrame, ranks_path: str, pattern: str, end_id: int, capacity: int, key: str = "doc_id", text: str = "text", added: dict[str, int] | None = None
+) -> DataFrame:
     """(row, key, piece, start, length, ids_crc32): the documents' ids with the end id, cut where needed.
 
     Only documents of more than `capacity` ids are cut, into full pieces; the first may be shorter.
@@ -73,9 +104,10 @@ def pieces(df: DataFrame, ranks_path: str, pattern: str, end_id: int, capacity:
     end = np.array([end_id], "<u4").tobytes()
 
     def run(source):
-        encoder = _ENCODERS.get((ranks_path, pattern))
+        name = (ranks_path, pattern, tuple(sorted((added or {}).items())))
+        encoder = _ENCODERS.get(name)
         if encoder is None:
-            encoder = _ENCODERS[ranks_path, pattern] = ChunkEncoder(ranks_path, pattern)
+            encoder = _ENCODERS[name] = ChunkEncoder(ranks_path, pattern, added)
         for batch in source:
             out = {"piece": [], "start": [], "length": [], "ids_crc32": []}
             of = []
@@ -157,72 +189,86 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     return best
 
 
-def _packed(rows: DataFrame, capacity: int, level: int) -> DataFrame:
-    """Each part of `rows` packed on its own; adds sequence_id, offset, space (left in its bin) and gap."""
+def _packed(rows: DataFrame, capacity: int, level: int, part_rows: int) -> tuple[DataFrame, int]:
+    """Each part of `rows` packed on its own, and the number of parts; adds sequence_id, offset and `open`.
+
+    All pieces of a part with a gap between its bins and the lower bound are open; of a certified part those
+    in its emptiest bin, if there is space.
+    """
     count = rows.count()
-    parts = -(-count // PART_ROWS) or 1
+    parts = -(-count // part_rows) or 1
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         lengths = group["length"].to_numpy()
         bins, offsets, opened = best_fit_decreasing(lengths, capacity)
         used = np.bincount(bins, weights=lengths, minlength=opened).astype(np.int64)
         part = int(group["part"].iloc[0])
+        emptiest = int(np.argmin(used))
+        gap = opened > lower_bound(lengths, capacity)
         return group.drop(columns="part").assign(
             sequence_id=(level << 56) + (part << 32) + bins,
             offset=offsets,
-            space=capacity - used[bins],
-            gap=opened - lower_bound(lengths, capacity),
+            open=gap | ((bins == emptiest) & (used[emptiest] < capacity)),
         )
 
     kind = rows.schema["key"].dataType.simpleString()
-    dealt = rows.withColumn("part", F.pmod(F.xxhash64("row", "piece", F.lit(level)), F.lit(parts)).cast("int"))
-    return settle(
-        dealt.repartition(parts, "part").groupBy("part").applyInPandas(
-            run,
-            f"row bigint, key {kind}, piece int, start bigint, length int, ids_crc32 bigint, "
-            "sequence_id bigint, offset bigint, space bigint, gap bigint",
-        ),
-        "packed",
+    # Like cards in order of length, so that all parts have the same mix and none lacks small pieces.
+    dealt = positions(rows, [], ["length", "row", "piece"]).withColumn("part", (F.col("at") % parts).cast("int")).drop("at")
+    packed = dealt.repartition(parts, "part").groupBy("part").applyInPandas(
+        run,
+        f"row bigint, key {kind}, piece int, start bigint, length int, ids_crc32 bigint, "
+        "sequence_id bigint, offset bigint, open boolean",
     )
+    return settle(packed, "packed"), parts
 
 
-def pack(rows: DataFrame, capacity: int, rounds: int = ROUNDS) -> DataFrame:
+def pack(rows: DataFrame, capacity: int, part_rows: int = PART_ROWS) -> DataFrame:
     """`pieces` with sequence_id and offset: as few sequences of at most `capacity` as can be found.
 
-    Pieces are dealt by hash into parts that one task packs by best-fit decreasing, and a lower bound from
-    dual feasible functions certifies the part's number of bins. Parts with a gap, and the bins that the
-    cutting into parts leaves unfilled, give the pieces of their bins with space back; these are dealt
-    anew, so that parts exchange them, and packed again while that saves bins and the whole is above its
-    own bound. `rounds` limits the repeats, not what is packed.
+    A full piece is a sequence. The others are dealt by length into parts that one task packs by best-fit
+    decreasing, and a lower bound from dual feasible functions certifies the part's number of bins. The bins
+    of certified parts are done, but for the emptiest, in which the cutting into parts leaves space. Parts
+    with a gap give all their pieces back. What is open is dealt anew, so that parts exchange documents, and
+    packed again, until no part is left to exchange with or a round saves no bin; then the round before it
+    stands.
     """
     columns = rows.columns
-    done, bins = None, lambda df: df.select("sequence_id").distinct().count()
-    packed = _packed(rows, capacity, 0)
-    total = packed.agg(F.sum("length")).first()[0] or 0
-    for level in range(1, rounds):
-        loose = packed.where("space > 0")
-        before = bins(loose)
-        full = (0 if done is None else bins(done)) + bins(packed) - before
-        gaps = packed.where("gap > 0").select("gap").limit(1).count()
-        if before <= 1 or (not gaps and full + before <= -(-total // capacity)):
-            break
-        again = _packed(loose.select(*columns), capacity, level)
+    alone = (-1 - F.monotonically_increasing_id()).alias("sequence_id")
+    full = rows.where(F.col("length") == capacity).select(*columns, alone, F.lit(0).cast("long").alias("offset"), F.lit(False).alias("open"))
+    rows = rows.where(F.col("length") < capacity)
+    bins = lambda df: df.agg(F.count_distinct("sequence_id")).first()[0]
+    packed, parts = _packed(rows, capacity, 0, part_rows)
+    done: list[DataFrame] = []
+    while parts > 1:
+        opened = packed.where("open")
+        before = bins(opened)
+        again, parts = _packed(opened.select(*columns), capacity, len(done) + 1, part_rows)
         if bins(again) >= before:
             break
-        kept = packed.where("space = 0")
-        done = kept if done is None else done.unionByName(kept)
+        done.append(packed.where("not open"))
         packed = again
-    return packed if done is None else done.unionByName(packed)
-
-
-def pack_documents(df: DataFrame, ranks_path: str, pattern: str, end_id: int = 2, capacity: int = 1024, key: str = "doc_id", text: str = "text") -> DataFrame:
+    return reduce(DataFrame.unionByName, [full, *done, packed])
+
+
+def pack_documents(
+    df: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    end_id: int = 2,
+    capacity: int = 1024,
+    key: str = "doc_id",
+    text: str = "text",
+    added: dict[str, int] | None = None,
+    part_rows: int = PART_ROWS,
+) -> DataFrame:
     """One row per piece: key, piece, start, length, ids_crc32, sequence_id, offset.
 
-    A null or empty text is its end id alone. Repeated rows are packed once each; null keys are kept.
+    `added` gives the ids of texts that are one token wherever they stand (`added_tokens`). A null or
+    empty text is its end id alone. Repeated rows are packed once each; null keys are kept.
     An empty table gives an empty result. Extra columns are not read. Texts are read once; the packing
     moves lengths only.
     """
-    rows = settle(pieces(df, ranks_path, pattern, end_id, capacity, key, text), "pieces")
-    return pack(rows, capacity).select(
+    rows = settle(pieces(df, ranks_path, pattern, end_id, capacity, key, text, added), "pieces")
+    return pack(rows, capacity, part_rows).select(
         F.col("key").alias(key), "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset"
     )

@@ -190,7 +190,7 @@ END_ID = 2
 def best_fit_packing(spark, folder):
     import public_tokenizers
 
-    from assay.llm.packing import pack_documents
+    from assay.llm.packing import added_tokens, pack_documents
 
     return pack_documents(
         table(spark, folder, "documents"),
@@ -198,6 +198,7 @@ def best_fit_packing(spark, folder):
         public_tokenizers.PATTERN,
         END_ID,
         SEQUENCE,
+        added=added_tokens(public_tokenizers.path("byte_bpe_50k.json")),
     )
 
 

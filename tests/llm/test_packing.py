@@ -10,20 +10,20 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from assay.llm import packing
+from assay.session import settle
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+ADDED = packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 @pytest.fixture(scope="module")
 def encoder():
-    return packing.ChunkEncoder(RANKS, public_tokenizers.PATTERN)
+    return packing.ChunkEncoder(RANKS, public_tokenizers.PATTERN, ADDED)
 
 
 @settings(max_examples=400, deadline=None)
@@ -32,11 +32,28 @@ def test_ids_are_the_tokenizers(tokenizer, encoder, text):
     assert np.frombuffer(encoder.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
-def test_special_strings_are_text(tokenizer, encoder):
-    text = "a <|endoftext|> b<|endoftext|>"
+END = "<|endoftext|>"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([END, "<|endoftext", "|>", " ", "a", " word", "\n", "é", "  ", "<", "'s"]), max_size=12))
+def test_added_tokens_are_one_id(tokenizer, encoder, parts):
+    text = "".join(parts)
+    ids = np.frombuffer(encoder.encode(text), "<u4").tolist()
+    assert ids == tokenizer.encode(text, add_special_tokens=False).ids
+    assert ids.count(ADDED[END]) == text.count(END)
+
+
+@pytest.mark.parametrize("text", [END, f"hello {END} world", f"{END}{END}", f"{END} a", f"a {END}", f" {END} "])
+def test_added_tokens_inside_at_the_ends_and_repeated(tokenizer, encoder, text):
     assert np.frombuffer(encoder.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_longest_added_token_wins():
+    encoder = packing.ChunkEncoder(RANKS, public_tokenizers.PATTERN, {"<a>": 60000, "<a><b>": 60001})
+    assert np.frombuffer(encoder.encode("<a><b><a>"), "<u4").tolist() == [60001, 60000]
+
+
 def best_fit(lengths, capacity):
     bins = []
     for n in sorted(lengths, reverse=True):
@@ -107,9 +124,22 @@ def check(df, out, tokenizer, capacity):
 
 
 @pytest.mark.parametrize("part_rows", [packing.PART_ROWS, 40])
-def test_messy(messy, tokenizer, monkeypatch, part_rows):
-    monkeypatch.setattr(packing, "PART_ROWS", part_rows)
-    check(messy, packing.pack_documents(messy, RANKS, public_tokenizers.PATTERN, capacity=64), tokenizer, 64)
+def test_messy(spark, messy, tokenizer, part_rows):
+    more = [(500 + n, t) for n, t in enumerate([END, f"x{END}y", f"{END} " * 90, f"a {END}{END}b"])]
+    messy = messy.unionByName(spark.createDataFrame(more, "doc_id long, text string"), allowMissingColumns=True)
+    out = packing.pack_documents(messy, RANKS, public_tokenizers.PATTERN, capacity=64, added=ADDED, part_rows=part_rows)
+    check(messy, out, tokenizer, 64)
+
+
+def test_parts_with_gaps_exchange_documents(spark):
+    """Fifteen parts reach nearly what one part does."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = settle(packing.pieces(docs, RANKS, public_tokenizers.PATTERN, 2, 1024), "pieces")
+    bound = packing.lower_bound(np.array([r[0] for r in rows.select("length").collect()]), 1024)
+    out = packing.pack(rows, 1024, part_rows=100).toPandas()
+    assert rows.count() == len(out) and bound <= out["sequence_id"].nunique() <= bound + 4
+    for _, bin_ in out.sort_values("offset").groupby("sequence_id"):
+        assert (bin_["offset"] == bin_["length"].cumsum() - bin_["length"]).all() and bin_["length"].sum() <= 1024
 
 
 def test_empty(empty):
