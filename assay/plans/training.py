@@ -204,12 +204,13 @@ def search(
     """(the best model of each family by mean RMSE over the folds, one row per parameter combination).
 
     Folds come from the digest of a row key, so they do not depend on partitioning. The fits of all
-    families, combinations and folds run side by side, the longest first, as many as the cluster has
-    cores for their partitions. The best of each family is then fitted on all rows.
+    families, combinations and folds run side by side, the longest first, as many as keep the cluster's
+    cores busy. The best of each family is then fitted on all rows.
     """
     spark = df.sparkSession
     rows = df.withColumn("_fold", bucket_of(key, folds, seed=7).cast("int"))
-    parallelism = parallelism or max(1, spark.sparkContext.defaultParallelism // df.rdd.getNumPartitions())
+    # Twice the cores, because fits of small tables wait for the driver about half of their time.
+    parallelism = parallelism or max(1, 2 * spark.sparkContext.defaultParallelism // df.rdd.getNumPartitions())
     tried = [(m, fit, fold) for m in models for fit in m.shared_fits() for fold in range(folds)]
     tried.sort(key=lambda job: -_effort(job[0], job[1]))
 

@@ -108,7 +108,7 @@ def sketched_profile(t):
     rows = t.role("deals").select(*SKETCHED)
     store = SketchStore(t.spark, scratch_path(t.spark, "sketches"))
     year = F.col("transaction_year")
-    for extract, part in (("to 1993", year <= 1993), ("1994-95", year.between(1994, 1995)), ("1996-97", year.between(1996, 1997)), ("1998 on", year >= 1998)):
+    for extract, part in (("to 1996", year <= 1996), ("1997-98", year.between(1997, 1998)), ("1999-2000", year.between(1999, 2000)), ("2001 on", year >= 2001)):
         store.add(rows.where(part), extract)
     merged = settle(store.profile({"median": 0.5}), "profile")
     numbers = [c for c in SKETCHED if KINDS.get(c) != "string"]

@@ -154,6 +154,48 @@ def feature_engineer(t):
     )
 
 
+#: A configuration with two sound products, one of which uses the other, one whose operand is absent, one with a single
+#: operand, a column to drop, one that is protected and one that is not there.
+REPORTED = FeatureConfig(
+    interactions=(
+        AREA_LEASE,
+        Interaction("area_lease_x_storey", ("floor_area_x_remaining_lease", "storey_midpoint")),
+        Interaction("area_x_nothing", ("floor_area_sqm", "no_such_column")),
+        Interaction("area_alone", ("floor_area_sqm",)),
+    ),
+    drop=("prediction", "town", "no_such_column"),
+)
+CREATED = [
+    "flat_id", *DISTANCES, "has_ip_school_nearby", "has_sap_school_nearby", "has_autonomous_school_nearby", "hdb_rpi",
+    "median_household_income", "total_population", "income_yoy_growth", "population_yoy_growth",
+    "floor_area_x_remaining_lease", "area_lease_x_storey",
+]
+
+
+@query(
+    "feature_report",
+    "select what, name from (values " + ", ".join(
+        f"('{what}', '{name}')"
+        for what, listed in {
+            "created": CREATED,
+            "interaction": ["floor_area_x_remaining_lease", "area_lease_x_storey"],
+            "skipped": ["area_x_nothing"],
+            "dropped": ["prediction"],
+        }.items()
+        for name in listed
+    ) + """) as report(what, name)
+     union all select 'rows', cast(count(*) as varchar) from deals""",
+    "deals",
+)
+def feature_report(t):
+    """What a feature build made, skipped and dropped, with the number of rows it kept."""
+    rows, summary = engineer(time_features(t.role("deals")), sources(t), REPORTED, id_keys=["txn_id"])
+    parts = {"created": "created", "interaction": "interactions", "skipped": "skipped_interactions", "dropped": "dropped"}
+    report = [(what, name) for what, key in parts.items() for name in summary[key]]
+    listed = t.spark.createDataFrame(report, "what string, name string")
+    return listed.union(rows.agg(F.lit("rows").alias("what"), F.count("*").cast("string").alias("name")))
+
+
 @query(
     "feature_validate",
     f"""with n as (select count(*) as n from deals where latitude is null),

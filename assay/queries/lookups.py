@@ -39,13 +39,13 @@ def geocode_join(t):
 @query(
     "quarter_index_join",
     f"""select txn_id, transaction_year, transaction_quarter, {r6('coalesce(rpi_value, 0e0)', 'rpi_value')}
-     from deals left join qindex on transaction_year = rpi_year and transaction_quarter = rpi_quarter""",
-    "deals", "qindex",
+     from deals left join qindex_gap on transaction_year = rpi_year and transaction_quarter = rpi_quarter""",
+    "deals", "qindex_gap",
 )
 def quarter_index_join(t):
     rows = t.role("deals").select("txn_id", "transaction_year", "transaction_quarter")
     on = {"transaction_year": "rpi_year", "transaction_quarter": "rpi_quarter"}
-    return L.period_join(rows, t.role("qindex"), on, 0.0)
+    return L.period_join(rows, t.role("qindex_gap"), on, 0.0)
 
 
 GROWN = """grown as (select demo_year, median_household_income, total_population,
@@ -57,15 +57,15 @@ GROWN = """grown as (select demo_year, median_household_income, total_population
 
 @query(
     "clamped_year_join",
-    f"""with {GROWN}
+    f"""with {GROWN.replace('from demo', 'from demo_gap')}
      select txn_id, transaction_year, {r6('median_household_income', 'median_household_income')}, total_population,
      {r6('income_yoy_growth', 'median_household_income_growth')} from deals, span
      left join grown on least(greatest(transaction_year, lo), hi) = demo_year""",
-    "deals", "demo",
+    "deals", "demo_gap",
 )
 def clamped_year_join(t):
     rows = t.role("deals").select("txn_id", "transaction_year")
-    series = growth(t.role("demo"), "demo_year", ["median_household_income"])
+    series = growth(t.role("demo_gap"), "demo_year", ["median_household_income"])
     return L.clamped_join(rows, series, "transaction_year", "demo_year", 0.0)
 
 

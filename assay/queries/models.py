@@ -65,13 +65,15 @@ def one_hot(t):
 
 @query(
     "label_mapping",
-    f"""with {TRAIN}, {RANKED.format('town', 'train')}, {RANKED.format('flat_type', 'train').replace('ranked', 'types')}
+    f"""with train as (select * from deals where {within_share('txn_id', 0.8)}),
+     {RANKED.format('town', 'train')}, {RANKED.format('flat_type', 'train').replace('ranked', 'types')}
      select 'town' as "column", cast(i as int) as "index", town as label from ranked
      union all select 'flat_type', cast(i as int), flat_type from types""",
     "deals",
 )
 def label_mapping(t):
-    rows, train = _split(t)
+    rows = t.role("deals").select("txn_id", "town", "flat_type")
+    train, _ = split_by_key(rows, "txn_id", 0.8)
     return M.label_table(M.index_categories(train, ["town", "flat_type"]), rows)
 
 

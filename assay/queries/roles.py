@@ -65,20 +65,24 @@ select s_suppkey as amenity_id,
 from {supplier}
 """
 
-# Quarterly index for 1996-2000 only, while orders span more years.
+# Quarterly index.
 QINDEX = """
 select cast(year(l_shipdate) as int) as rpi_year, cast(quarter(l_shipdate) as int) as rpi_quarter,
  round(avg(l_extendedprice), 6) as rpi_value
-from {lineitem} where year(l_shipdate) between 1996 and 2000 group by 1, 2
+from {lineitem} where l_shipdate is not null group by 1, 2
 """
 
 # Yearly series.
 DEMO = """
 select cast(year(l_shipdate) as int) as demo_year, round(avg(l_extendedprice), 6) as median_household_income,
  cast(count(*) as double) as total_population
-from {lineitem} where year(l_shipdate) between 1996 and 2000 group by 1
+from {lineitem} where l_shipdate is not null group by 1
 """
 
+# The same for 1996-2000 only, while orders span more years: for the two joins whose feature is what happens outside a lookup.
+QINDEX_GAP = f"select * from ({QINDEX}) q where rpi_year between 1996 and 2000"
+DEMO_GAP = f"select * from ({DEMO}) d where demo_year between 1996 and 2000"
+
 # Address cache with repeated addresses, missing addresses and missing coordinates.
 CACHE = """
 select concat(cast(c_custkey % 900 + 1 as string), ' street ', cast(c_custkey % 60 as string)) as full_address,
@@ -104,6 +108,7 @@ from (select id, entity, term_no, EACH(0, 1, 2) as position
 
 ROLES = {
     "txn": TXN, "deals": DEALS, "amen": AMEN, "qindex": QINDEX, "demo": DEMO, "cache": CACHE, "cands": CANDS,
+    "qindex_gap": QINDEX_GAP, "demo_gap": DEMO_GAP,
 }
 
 
