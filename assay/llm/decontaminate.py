@@ -15,7 +15,8 @@ from assay.session import settle
 WINDOW = 13
 BLOCK = 2
 #: Bytes of test text whose tables one task holds at a time; larger test sets are searched in blocks.
-TABLE_BYTES = 16 << 20
+#: The tables take about 170 bytes for one of text, so a block's stay under 400 MB in a worker.
+TABLE_BYTES = 2 << 20
 
 # Bytes that are part of a word, A-Z in lower case; all others end one.
 _WORD_BYTES = bytes(
@@ -136,20 +137,20 @@ def search(
     ids count as empty. Repeated rows keep a row each. An empty test set covers nothing. Extra columns
     are not read.
 
-    Documents are searched where they are read, without a shuffle. The test set is the query: it is
-    broadcast, after its size is summed, in blocks of at most `TABLE_BYTES` of text (or one item).
+    Documents are searched where they are read, without a shuffle. The test set is the query: its
+    different rows are broadcast in blocks of at most `TABLE_BYTES` of text beside a block's longest row.
     """
     named = tests.select(
         F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
     )
-    size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-size // TABLE_BYTES) or 1
+    named = settle(named.distinct(), "tests")
+    blocks = _blocks(named)
     docs = df.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("text"))
     if blocks > 1:
         docs = settle(docs.withColumn("row", F.monotonically_increasing_id()), "decontaminate")
     found = []
     for block in range(blocks):
-        mine = named if blocks == 1 else named.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
+        mine = named if blocks == 1 else named.where(_block(blocks) == block)
         items = [(r["item"], r["text"].encode()) for r in mine.toLocalIterator()]
         found.append(_searched(docs, items, window))
     if blocks == 1:
@@ -166,6 +167,20 @@ def search(
     return together.select(F.col("key").alias(key), "n_words", "spans", "items")
 
 
+def _blocks(named: DataFrame) -> int:
+    """Into how many blocks the test rows go by hash, so that none is too large; sizes are summed to prove it."""
+    size, blocks = F.octet_length("text").cast("long"), 1
+    while True:
+        sums = named.groupBy(_block(blocks).alias("block")).agg((F.sum(size) - F.max(size)).alias("beside"))
+        if (sums.agg(F.max("beside")).first()[0] or 0) <= TABLE_BYTES:
+            return blocks
+        blocks *= 2
+
+
+def _block(blocks: int) -> Column:
+    return F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
+
+
 def merge_spans(spans: Column) -> Column:
     """Overlapping or touching sorted spans as one."""
 

@@ -1,4 +1,6 @@
+import random
 import re
+import tracemalloc
 from collections import Counter
 
 import pytest
@@ -51,6 +53,29 @@ def test_messy(spark, messy, monkeypatch, table_bytes):
     assert judged.where("contaminated != (n_hit > 0 and 20 * n_hit >= n_words)").isEmpty()
 
 
+def test_blocks_are_bounded_and_repeats_count_once(spark, monkeypatch):
+    """A third of the test rows is one row; the others fall into blocks whose sizes are proved."""
+    monkeypatch.setattr(dc, "TABLE_BYTES", 1000)
+    rows = [("x", "same words " * 20)] * 300 + [(str(n), f"item {n} " * 15) for n in range(60)] + [("long", "y " * 3000)]
+    named = spark.createDataFrame(rows, "item string, text string").distinct()
+    blocks = dc._blocks(named)
+    sums = {}
+    for r in named.select("text", dc._block(blocks).alias("b")).collect():
+        sums.setdefault(r["b"], []).append(len(r["text"]))
+    assert named.count() == 62 and all(sum(x) - max(x) <= 1000 for x in sums.values())
+
+
+def test_tables_of_a_block_fit_a_worker():
+    rng = random.Random(2)
+    items = [(str(n), " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(100)).encode()) for n in range(300)]
+    text = sum(len(t) for _, t in items)
+    tracemalloc.start()
+    searchers = dc.compile_items(items, dc.WINDOW)
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert searchers and held / text * dc.TABLE_BYTES < 600 << 20
+
+
 def test_empty(messy, empty):
     tests = messy.selectExpr("doc_id item_id", "text")
     assert dc.search(empty, tests).isEmpty()
