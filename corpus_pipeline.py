@@ -41,7 +41,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in the training sequences."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return packing.pack_documents(docs, ranks, public_tokenizers.PATTERN, END_ID, SEQUENCE)
+    added = packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, ranks, public_tokenizers.PATTERN, END_ID, SEQUENCE, added=added)
 
 
 STAGES = [
