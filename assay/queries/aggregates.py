@@ -91,34 +91,34 @@ def approx_distinct(t):
     return both.select("column", "exact", close.alias("close"))
 
 
-SKETCHED = ["txn_id", "town", "flat_model", "resale_price", "floor_area_sqm", "transaction_year"]
-KINDS = {"txn_id": "bigint", "town": "string", "flat_model": "string", "transaction_year": "int"}
+GROWING = ["txn_id", "town", "flat_model", "resale_price", "floor_area_sqm", "transaction_year"]
+GROWING_KINDS = {"txn_id": "bigint", "town": "string", "flat_model": "string", "transaction_year": "int"}
 
 
 def _sketched_sql(c: str) -> str:
-    low, high = (f"cast({f}({c}) as double)" if KINDS.get(c) != "string" else "cast(null as double)" for f in ("min", "max"))
-    middle = "cast(null as boolean)" if KINDS.get(c) == "string" else "true"
-    return f"""select '{c}' as "column", '{KINDS.get(c, 'double')}' as type, count(*) as n, count(*) - count({c}) as nulls,
+    low, high = (f"cast({f}({c}) as double)" if GROWING_KINDS.get(c) != "string" else "cast(null as double)" for f in ("min", "max"))
+    middle = "cast(null as boolean)" if GROWING_KINDS.get(c) == "string" else "true"
+    return f"""select '{c}' as "column", '{GROWING_KINDS.get(c, 'double')}' as type, count(*) as n, count(*) - count({c}) as nulls,
      {r6(low, 'low')}, {r6(high, 'high')}, true as distinct_close, {middle} as median_close from deals"""
 
 
-@query("sketched_profile", " union all ".join(map(_sketched_sql, SKETCHED)), "deals")
+@query("sketched_profile", " union all ".join(map(_sketched_sql, GROWING)), "deals")
 def sketched_profile(t):
     """Four extracts, each read once when it is stored; the profile of all of them from their sketches."""
-    rows = t.role("deals").select(*SKETCHED)
+    rows = t.role("deals").select(*GROWING)
     store = SketchStore(t.spark, scratch_path(t.spark, "sketches"))
     year = F.col("transaction_year")
     for extract, part in (("to 1996", year <= 1996), ("1997-98", year.between(1997, 1998)), ("1999-2000", year.between(1999, 2000)), ("2001 on", year >= 2001)):
         store.add(rows.where(part), extract)
     merged = settle(store.profile({"median": 0.5}), "profile")
-    numbers = [c for c in SKETCHED if KINDS.get(c) != "string"]
+    numbers = [c for c in GROWING if GROWING_KINDS.get(c) != "string"]
     guesses = merged.where("median is not null").groupBy().pivot("column", numbers).agg(F.first("median"))
     below = attach(rows.select(*numbers), guesses.select(*[F.col(c).alias(f"_{c}") for c in numbers]))
     # The estimate's true rank: an estimate of the median has about half of the values on each side.
     share = lambda c, test: F.avg(F.when(F.col(c).isNotNull(), test.cast("double")))
     ranks = below.agg(*[((share(c, F.col(c) < F.col(f"_{c}")) <= 0.52) & (share(c, F.col(c) <= F.col(f"_{c}")) >= 0.48)).alias(c) for c in numbers])
     ranks = ranks.unpivot([], numbers, "column", "median_close")
-    exact = A.distinct_counts(rows, SKETCHED).withColumnRenamed("n_distinct", "exact")
+    exact = A.distinct_counts(rows, GROWING).withColumnRenamed("n_distinct", "exact")
     close = F.abs(F.col("n_distinct") - F.col("exact")) <= 0.05 * F.col("exact")
     return merged.join(exact, "column").join(ranks, "column", "left").select(
         "column", "type", "n", "nulls", "low", "high", close.alias("distinct_close"), "median_close"

@@ -19,7 +19,7 @@ FOLDER = "/root/testdata/sf0.001"
 MODELS = {"random_forest", "gbt", "cross_validate", "feature_importance", "train_compare", "oot_validation"}
 UNWANTED = re.compile(r"CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython|MapInPandas")
 # Windows without partitions are allowed on calendar tables and lists of models only.
-SMALL_WINDOWS = {"clamped_year_join", "feature_engineer", "feature_validate", "model_ranking"}
+SMALL_WINDOWS = {"clamped_year_join", "feature_engineer", "feature_report", "feature_validate", "model_ranking"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the given tables")
 
