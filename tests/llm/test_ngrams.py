@@ -4,12 +4,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from assay.llm import ngrams
 from assay.llm.eliasfano import EliasFano
+from assay.llm.queries import LM_BASE_SQL, lm_scoring
 from assay.llm.ngrams import quantise, score_documents
 
 
@@ -96,3 +98,14 @@ def test_followers_of_one_word_go_to_several_parts(spark, monkeypatch):
     for g, w in zip(got, want):
         assert g[5] == pytest.approx(w[5], rel=1e-9) and g[6] == pytest.approx(w[6], rel=0.01)
     assert sizes.value == 0
+
+
+def test_columns_without_a_model_agree_with_sql(spark):
+    folder = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{folder}/documents.parquet'")
+    want = {r[0]: r[1:] for r in con.execute(LM_BASE_SQL).fetchall()}
+    got = {r["doc_id"]: tuple(r)[1:6] for r in lm_scoring(spark, folder).collect()}
+    assert got.keys() == want.keys() and any(r[0] for r in want.values())
+    for key, row in want.items():
+        assert got[key][:4] == row[:4] and got[key][4] == pytest.approx(row[4], rel=1e-9)
