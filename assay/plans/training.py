@@ -189,11 +189,16 @@ def _errors(model: ModelSpec, combinations: list[int], train: DataFrame, held_ou
         evaluator = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
         return {i: evaluator.evaluate(model.estimator.fit(train, maps[i]).transform(held_out))}
     rounds = {i: maps[i][model.regressor.getParam(model.rounds)] for i in combinations}
-    longest = max(rounds, key=rounds.get)
-    squares = model.estimator.fit(train, maps[longest]).evaluateEachIteration(held_out, "squared")
+    squares = model.estimator.fit(train, maps[_longest(model, combinations)]).evaluateEachIteration(held_out, "squared")
     return {i: math.sqrt(squares[n - 1]) for i, n in rounds.items()}
 
 
+def _longest(model: ModelSpec, combinations: list[int]) -> int:
+    """The combination with the most rounds."""
+    maps = model.param_maps()
+    return max(combinations, key=lambda i: maps[i][model.regressor.getParam(model.rounds)])
+
+
 def _described(combination: dict) -> str:
     return ", ".join(f"{p.name}={v}" for p, v in sorted(combination.items(), key=lambda e: e[0].name))
 
@@ -212,17 +217,29 @@ def search(
     # Twice the cores, because fits of small tables wait for the driver about half of their time.
     parallelism = parallelism or max(1, 2 * spark.sparkContext.defaultParallelism // df.rdd.getNumPartitions())
     tried = [(m, fit, fold) for m in models for fit in m.shared_fits() for fold in range(folds)]
+    # Rounds of boosting follow one another, so its candidates for the final fit run beside the search, not after it.
+    tried += [(m, fit, None) for m in models if m.rounds in m.grid for fit in m.shared_fits()]
     tried.sort(key=lambda job: -_effort(job[0], job[1]))
 
     def job(model, fit, fold):
+        if fold is None:
+            return lambda: model.estimator.fit(df, model.param_maps()[_longest(model, fit)])
         return lambda: _errors(model, fit, rows.where(F.col("_fold") != fold), rows.where(F.col("_fold") == fold), label)
 
     sums: dict = {m.name: [0.0] * len(m.param_maps()) for m in models}
-    for (model, _, _), errors in zip(tried, _side_by_side(spark, [job(*x) for x in tried], parallelism)):
-        for i, error in errors.items():
+    ready = {}
+    for (model, fit, fold), result in zip(tried, _side_by_side(spark, [job(*x) for x in tried], parallelism)):
+        if fold is None:
+            ready[model.name, _longest(model, fit)] = result
+            continue
+        for i, error in result.items():
             sums[model.name][i] += error / folds
-    best = {m.name: m.param_maps()[min(range(len(sums[m.name])), key=sums[m.name].__getitem__)] for m in models}
-    fitted = _side_by_side(spark, [lambda m=m: m.estimator.fit(df, best[m.name]) for m in models], parallelism)
+    best = {m.name: min(range(len(sums[m.name])), key=sums[m.name].__getitem__) for m in models}
+
+    def final(m):
+        return lambda: ready.get((m.name, best[m.name])) or m.estimator.fit(df, m.param_maps()[best[m.name]])
+
+    fitted = _side_by_side(spark, [final(m) for m in models], parallelism)
     table = [(m.name, i, _described(c), float(sums[m.name][i])) for m in models for i, c in enumerate(m.param_maps())]
     metrics = spark.createDataFrame(table, "model string, combo int, params string, rmse double")
     return dict(zip((m.name for m in models), fitted)), metrics

@@ -140,9 +140,17 @@ UNEXPLAINED = {"linear_regression": 0.1, "random_forest": 0.4, "gbt": 0.2}
 _WRITTEN: dict[tuple[str, ...], str] = {}
 
 
+def _name(t, label: str) -> tuple[str, ...]:
+    return t.spark.sparkContext.applicationId, t.folder, label
+
+
+def _is_written(t, label: str) -> bool:
+    return _name(t, label) in _WRITTEN
+
+
 def _once(t, label: str, write) -> str:
     """The folder that `write(path)` has filled for these inputs in this application."""
-    name = (t.spark.sparkContext.applicationId, t.folder, label)
+    name = _name(t, label)
     if name not in _WRITTEN:
         path = f"{scratch_root(t.spark)}/assay-{label}-{uuid.uuid4().hex}"
         write(path)
@@ -160,14 +168,37 @@ def _features(t):
     return t.spark.read.parquet(_once(t, "model-features", write))
 
 
-def _compared(t) -> M.Comparison:
-    """All families with their whole grids, compared once and then loaded with their fitted models."""
+def _compared(t, families=None) -> M.Comparison:
+    """The families with their whole grids, compared once and then loaded with their fitted models.
+
+    Some families alone are compared only where all of them have not been.
+    """
+    if families is None or _is_written(t, "model-comparison"):
+        families, label = tuple(COMPARED), "model-comparison"
+    else:
+        label = "-".join(["model-comparison", *families])
 
     def write(path):
-        specs = [M.spec(name, grid=grid) for name, grid in COMPARED.items()]
+        specs = [M.spec(name, grid=COMPARED[name]) for name in families]
         M.train_and_compare(_features(t), specs, "txn_id", keep=["town"]).save(path)
 
-    return M.Comparison.load(t.spark, _once(t, "model-comparison", write))
+    return M.Comparison.load(t.spark, _once(t, label, write))
+
+
+def _chosen_or_first(t, families) -> M.Comparison:
+    """The compared families where that has been done, else their models with the first value of each grid entry."""
+    if _is_written(t, "model-comparison"):
+        return _compared(t)
+
+    def write(path):
+        specs = [M.spec(name, grid={p: values[:1] for p, values in COMPARED[name].items()}) for name in families]
+        train, test = split_by_key(_features(t), "txn_id", 0.8)
+        vectors = M.vectorise(train, test, "txn_id", "resale_price", ["town"])
+        models = {s.name: s.estimator.fit(vectors.train, s.param_maps()[0]) for s in specs}
+        none = t.spark.createDataFrame([], "model string, rmse double")
+        M.Comparison(none, none, models, vectors.inputs, vectors.test).save(path)
+
+    return M.Comparison.load(t.spark, _once(t, "-".join(["first-models", *families]), write))
 
 
 def _unexplained(rows):
@@ -182,8 +213,11 @@ def _unexplained(rows):
     "deals",
 )
 def random_forest(t):
-    """Test rows by the forest chosen among all combinations; it predicts means of training labels."""
-    compared = _compared(t)
+    """Test rows by a forest, which predicts means of training labels.
+
+    The model is the one chosen among all combinations where `train_compare` has run, else the first combination's.
+    """
+    compared = _chosen_or_first(t, ("random_forest",))
     scored = compared.predictions("random_forest")
     train, _ = split_by_key(_features(t), "txn_id", 0.8)
     low, high = train.agg(F.min("resale_price"), F.max("resale_price")).first()
@@ -200,8 +234,11 @@ def random_forest(t):
     "deals",
 )
 def gbt(t):
-    """Test rows by the boosting chosen among all combinations: the error lies between the noise and a small share of the price."""
-    scored = _compared(t).predictions("gbt")
+    """Test rows by boosting: the error lies between the noise and a small share of the price.
+
+    The model is the one chosen among all combinations where `train_compare` has run, else the first combination's.
+    """
+    scored = _chosen_or_first(t, ("gbt",)).predictions("gbt")
     noisy = scored.join(_features(t).select("txn_id", F.expr(NOISE).alias("noise")), "txn_id")
     y, noise = F.col("resale_price"), F.sqrt(F.avg(F.col("noise") ** 2)) / F.stddev_pop("resale_price")
     return noisy.agg(
@@ -213,10 +250,15 @@ def gbt(t):
     )
 
 
+#: What `cross_validate` searches; `train_compare` searches all families.
+SEARCHED = ("linear_regression",)
+
+
 def _grid_rows() -> str:
-    """Every combination of every family as SQL rows, parameters by name."""
+    """Every combination of the searched families as SQL rows, parameters by name."""
     rows = []
-    for model, grid in COMPARED.items():
+    for model in SEARCHED:
+        grid = COMPARED[model]
         for values in itertools.product(*grid.values()):
             params = ", ".join(f"{p}={v}" for p, v in sorted(zip(grid, values)))
             rows.append(f"('{model}', '{params}', {str(model == 'linear_regression').lower()})")
@@ -231,16 +273,16 @@ def _grid_rows() -> str:
     "deals",
 )
 def cross_validate(t):
-    """Every combination of every family in three folds: none is far off, and one of each family is the least.
+    """Every linear combination in three folds: none is far off, and one is the least.
 
-    The linear ones can reach the noise, so their errors must lie near it.
+    Linear models can reach the noise, so their errors must lie near it.
     """
-    compared = _compared(t)
+    compared = _compared(t, SEARCHED)
     train, _ = split_by_key(_features(t), "txn_id", 0.8)
     train = train.where(COMPLETE)
     spread = train.agg(F.stddev_pop("resale_price")).first()[0]
     noise = train.agg(F.sqrt(F.avg(F.expr(NOISE) ** 2))).first()[0]
-    combos = compared.combinations
+    combos = compared.combinations.where(F.col("model").isin(*SEARCHED))
     least = combos.groupBy("model").agg(F.min(F.struct("rmse", "combo")).alias("m")).select("model", "m.combo")
     chosen = combos.join(least, ["model", "combo"], "left_semi").groupBy("model").agg(F.count("*").cast("int").alias("n_least"))
     linear = F.col("model") == "linear_regression"
@@ -263,14 +305,15 @@ def cross_validate(t):
 def feature_importance(t):
     """All three families: importances sum to one, come in order, and find the planted inputs.
 
-    The floor area moves the price most. Storey and lease stand above all inputs that do not move it, but
-    for the product of area and lease, which trees may use in their place.
+    The floor area moves the price most. It and the storey stand above all inputs that do not move it, but for
+    the product of area and lease and the storey's band, which trees may use in their place. The models are the chosen ones where
+    `train_compare` has run, else those of each grid's first combination.
     """
-    compared = _compared(t)
+    compared = _chosen_or_first(t, tuple(COMPARED))
     window = Window.partitionBy("model").orderBy(F.col("importance").desc(), "feature")
     ranked = compared.importances().withColumn("place", F.row_number().over(window))
-    real = F.col("feature").isin("floor_area_sqm", "storey_midpoint", "remaining_lease_years")
-    product = F.col("feature") == "floor_area_x_remaining_lease"
+    real = F.col("feature").isin("floor_area_sqm", "storey_midpoint")
+    stand_in = F.col("feature").isin("floor_area_x_remaining_lease", "storey_range_bin_index", "remaining_lease_years")
     earlier = F.lag("importance").over(window)
     return (
         ranked.withColumn("sinks", F.coalesce(earlier >= F.col("importance"), F.lit(True)))
@@ -280,7 +323,7 @@ def feature_importance(t):
             F.count("*").cast("int").alias("n_inputs"),
             F.bool_and("sinks").alias("in_order"),
             F.min_by("feature", "place").alias("top"),
-            (F.min(F.when(real, F.col("importance"))) > F.max(F.when(~real & ~product, F.col("importance")))).alias("planted_above"),
+            (F.min(F.when(real, F.col("importance"))) > F.max(F.when(~real & ~stand_in, F.col("importance")))).alias("planted_above"),
         )
     )
 
