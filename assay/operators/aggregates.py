@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +25,9 @@ TEXT_SHAPES = {
 }
 
 
-def count_if(condition: Column) -> Column:
-    return F.coalesce(F.sum(F.when(condition, 1).otherwise(0).cast("long")), F.lit(0).cast("long"))
+def count_if(condition: Column, each: Column | int = 1) -> Column:
+    """The number of rows that meet the condition, a row counting for `each`."""
+    return F.coalesce(F.sum(F.when(condition, each).otherwise(0).cast("long")), F.lit(0).cast("long"))
 
 
 def to_rows(one_row: DataFrame, structs: list[Column]) -> DataFrame:
@@ -45,49 +47,60 @@ def null_counts(df: DataFrame, blanks: bool = False) -> DataFrame:
     return one.unpivot([], list(df.columns), "column", "nulls")
 
 
-def profile(df: DataFrame, approx: bool = True, relative_error: float = 0.05) -> DataFrame:
+def profile(df: DataFrame, approx: bool = True, relative_error: float = 0.05, written: bool = False) -> DataFrame:
     """One row per column: type, nulls, range, distinct values and shares of known text shapes.
 
     Blank text counts as null. `approx` counts distinct values by sketch, which needs one pass and
-    no shuffle of values; exact counts shuffle every distinct value of every column.
+    no shuffle of values. The exact profile counts the rows of every distinct value, column by column, and takes all
+    measures from these; it writes the table first unless it is a written one.
     """
-    measures, rows = [], []
-    n = F.col("_rows")
-    for field in df.schema.fields:
-        name, c = field.name, F.col(f"`{field.name}`")
-        text = isinstance(field.dataType, T.StringType)
-        numeric = isinstance(field.dataType, NUMERIC)
-        present = not_blank(c) if text else c.isNotNull()
-        distinct = F.approx_count_distinct(c, relative_error) if approx else F.count_distinct(c)
-        measures += [count_if(present).alias(f"{name}__present"), distinct.alias(f"{name}__distinct")]
-        if numeric:
-            measures += [F.min(c).alias(f"{name}__min"), F.max(c).alias(f"{name}__max")]
-        if text:
-            measures += [
-                count_if(present & c.rlike(shape)).alias(f"{name}__{label}")
-                for label, shape in TEXT_SHAPES.items()
-            ]
-        kept = F.col(f"`{name}__present`")
-        edge = lambda end: F.col(f"`{name}__{end}`").cast("double") if numeric else F.lit(None).cast("double")
-        shares = [
-            (F.try_divide(F.col(f"`{name}__{label}`") * 100.0, kept) if text else F.lit(None).cast("double"))
-            .alias(f"{label}_pct")
-            for label in TEXT_SHAPES
-        ]
-        rows.append(
-            F.struct(
-                F.lit(name).alias("column"),
-                F.lit(field.dataType.simpleString()).alias("type"),
-                n.alias("n"),
-                (n - kept).alias("nulls"),
-                F.try_divide((n - kept) * 100.0, n).alias("null_pct"),
-                F.col(f"`{name}__distinct`").alias("n_distinct"),
-                edge("min").alias("min_value"),
-                edge("max").alias("max_value"),
-                *shares,
-            )
-        )
-    return to_rows(df.agg(F.count("*").alias("_rows"), *measures), rows)
+    fields = df.schema.fields
+    if approx:
+        distinct = lambda c: F.approx_count_distinct(c, relative_error)
+        measures = [m for field in fields for m in _measures(field, distinct)]
+        return to_rows(df.agg(F.count("*").alias("_rows"), *measures), [_profile_row(field) for field in fields])
+    rows, each = df if written else settle(df, "profiled"), F.col("_rows_of_value")
+
+    def of(field: T.StructField) -> DataFrame:
+        values = rows.groupBy(F.col(f"`{field.name}`").alias(field.name)).agg(F.count("*").alias("_rows_of_value"))
+        one = values.agg(count_if(F.lit(True), each).alias("_rows"), *_measures(field, F.count, each))
+        return to_rows(one, [_profile_row(field)])
+
+    return reduce(DataFrame.union, map(of, fields))
+
+
+def _measures(field: T.StructField, distinct, each: Column | int = 1) -> list[Column]:
+    """What a column's profile is made of; a row stands for `each` rows with its value."""
+    name, c = field.name, F.col(f"`{field.name}`")
+    text = isinstance(field.dataType, T.StringType)
+    present = not_blank(c) if text else c.isNotNull()
+    measures = [count_if(present, each).alias(f"{name}__present"), distinct(c).alias(f"{name}__distinct")]
+    if isinstance(field.dataType, NUMERIC):
+        measures += [F.min(c).alias(f"{name}__min"), F.max(c).alias(f"{name}__max")]
+    if text:
+        measures += [count_if(present & c.rlike(shape), each).alias(f"{name}__{label}") for label, shape in TEXT_SHAPES.items()]
+    return measures
+
+
+def _profile_row(field: T.StructField) -> Column:
+    name, n, kept = field.name, F.col("_rows"), F.col(f"`{field.name}__present`")
+    text, numeric = isinstance(field.dataType, T.StringType), isinstance(field.dataType, NUMERIC)
+    edge = lambda end: F.col(f"`{name}__{end}`").cast("double") if numeric else F.lit(None).cast("double")
+    shares = [
+        (F.try_divide(F.col(f"`{name}__{label}`") * 100.0, kept) if text else F.lit(None).cast("double")).alias(f"{label}_pct")
+        for label in TEXT_SHAPES
+    ]
+    return F.struct(
+        F.lit(name).alias("column"),
+        F.lit(field.dataType.simpleString()).alias("type"),
+        n.alias("n"),
+        (n - kept).alias("nulls"),
+        F.try_divide((n - kept) * 100.0, n).alias("null_pct"),
+        F.col(f"`{name}__distinct`").alias("n_distinct"),
+        edge("min").alias("min_value"),
+        edge("max").alias("max_value"),
+        *shares,
+    )
 
 
 def approx_distinct(df: DataFrame, columns=None, relative_error: float = 0.05) -> DataFrame:

@@ -69,7 +69,7 @@ PROFILED = {c: {"txn_id": "bigint", "latitude": "double", "longitude": "double"}
 )
 def profile_table(t):
     rows = settle(t.role("txn").select(*PROFILED), "txn")
-    exact, sketched = A.profile(rows, approx=False), A.profile(rows, relative_error=0.02)
+    exact, sketched = A.profile(rows, approx=False, written=True), A.profile(rows, relative_error=0.02)
     near = sketched.select(F.col("column").alias("of"), F.col("n_distinct").alias("about"))
     close = F.abs(F.col("about") - F.col("n_distinct")) <= 0.1 * F.col("n_distinct")
     return exact.join(near, F.col("column") == F.col("of")).withColumn("sketch_is_near", close).drop("of", "about")

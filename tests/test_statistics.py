@@ -40,6 +40,18 @@ def test_profile(frame):
     assert A.profile(df).count() == 3
 
 
+def test_exact_profile_counts_each_column_alone(frame, spark):
+    df = frame([("2020-01", 1.0), ("2020-01", float("nan")), (" ", float("nan")), (None, None), ("1 TO 3", 1.0)], "a string, b double")
+    whole = A.profile(df, approx=False)
+    assert "Expand" not in whole._jdf.queryExecution().optimizedPlan().toString()
+    a, b = (r.asDict() for r in whole.orderBy("column").collect())
+    assert (a["n"], a["nulls"], a["n_distinct"], a["x_to_y_pct"]) == (5, 2, 3, pytest.approx(100 / 3))
+    assert (a["year_month_pct"], a["min_value"]) == (pytest.approx(200 / 3), None)
+    assert (b["n"], b["nulls"], b["n_distinct"], b["min_value"], b["null_pct"]) == (5, 1, 2, 1.0, 20.0)
+    empty = A.profile(df.where("false"), approx=False).collect()
+    assert [(r["n"], r["nulls"], r["n_distinct"], r["min_value"]) for r in empty] == [(0, 0, 0, None)] * 2
+
+
 def test_null_counts(frame):
     df = frame([("", 1), (None, None)], "s string, n int")
     assert dict(map(tuple, A.null_counts(df).collect())) == {"s": 1, "n": 1}
