@@ -154,3 +154,28 @@ def test_comparison_comes_back_from_its_folder(deals, spark):
     for name in made.models:
         a, b = (sorted((r["id"], r["prediction"]) for r in x.predictions(name).collect()) for x in (made, loaded))
         assert a == b
+
+
+def test_linear_search_fits_few_rows_with_the_same_moments(vectors, spark, monkeypatch):
+    seen = []
+    fit = M.LinearRegression.fit
+    monkeypatch.setattr(M.LinearRegression, "fit", lambda self, rows, params=None: seen.append(rows.count()) or fit(self, rows, params))
+    model = M.spec("linear_regression")
+    assert model.by_moments and not M.spec("gbt").by_moments
+    best, _ = M.search(vectors.train, [model], "id", folds=2)
+    few = len(vectors.inputs) + 2
+    assert seen == [few] * (2 * 12 + 1) and few < vectors.train.count()
+    monkeypatch.undo()
+    own = model.estimator.fit(vectors.train, model.param_maps()[0])
+    made = M.condense(vectors.train.withColumn("_fold", F.col("id") % 2), model, "resale_price", 2)[-1].fit(model, model.param_maps()[0])
+    assert made.stages[-1].intercept == pytest.approx(own.stages[-1].intercept)
+    assert list(made.stages[-1].coefficients) == pytest.approx(list(own.stages[-1].coefficients), rel=1e-6, abs=1e-6)
+    assert best["linear_regression"].transform(vectors.test).count() == vectors.test.count()
+
+
+def test_one_final_fit_per_family(vectors, monkeypatch):
+    rows = []
+    fit = M.GBTRegressor.fit
+    monkeypatch.setattr(M.GBTRegressor, "fit", lambda self, df, params=None: rows.append(df.count()) or fit(self, df, params))
+    M.search(vectors.train, [M.spec("gbt", grid={"maxIter": [1, 2], "maxDepth": [1, 2], "stepSize": [0.1, 0.3]})], "id", folds=2)
+    assert len(rows) == 4 * 2 + 1 and rows.count(vectors.train.count()) == 1
