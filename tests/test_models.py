@@ -179,3 +179,11 @@ def test_one_final_fit_per_family(vectors, monkeypatch):
     monkeypatch.setattr(M.GBTRegressor, "fit", lambda self, df, params=None: rows.append(df.count()) or fit(self, df, params))
     M.search(vectors.train, [M.spec("gbt", grid={"maxIter": [1, 2], "maxDepth": [1, 2], "stepSize": [0.1, 0.3]})], "id", folds=2)
     assert len(rows) == 4 * 2 + 1 and rows.count(vectors.train.count()) == 1
+
+
+def test_training_rows_lie_evenly(spark, monkeypatch):
+    monkeypatch.setattr(M, "PARTITION_BYTES", 1 << 16)
+    rows = spark.range(2000, numPartitions=1).select("id", F.array(F.lit(1.0)).alias("x"))
+    for width, parts in ((1, 1), (4, 2), (8, 4)):  # three partitions would be uneven on four cores
+        even = M.settle_evenly(rows, 2000, width, "even").rdd.glom().map(len).collect()
+        assert sum(even) == 2000 and len(even) == parts and max(even) - min(even) <= parts
