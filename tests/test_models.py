@@ -1,5 +1,7 @@
 import datetime
 import random
+import threading
+import time
 
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -187,3 +189,64 @@ def test_training_rows_lie_evenly(spark, monkeypatch):
     for width, parts in ((1, 1), (4, 2), (8, 4)):  # three partitions would be uneven on four cores
         even = M.settle_evenly(rows, 2000, width, "even").rdd.glom().map(len).collect()
         assert sum(even) == 2000 and len(even) == parts and max(even) - min(even) <= parts
+
+
+def test_more_files_than_cores_are_read_in_equal_partitions(spark, monkeypatch):
+    monkeypatch.setattr(M, "PARTITION_BYTES", 1 << 16)
+    rows = spark.range(2000, numPartitions=1).select("id", F.array(F.lit(1.0)).alias("x"))
+    assert M.wanted_partitions(2000, 17) == 5  # on four cores
+    even = M.settle_evenly(rows, 2000, 17, "even").rdd.glom().map(len).collect()
+    assert sum(even) == 2000 and len(even) == 4 and max(even) - min(even) <= 8
+
+
+def test_forests_keep_nodes_where_they_are_few(spark, vectors):
+    model = M.spec("random_forest")
+    small, large = M.remembering(model, 1000, 4), M.remembering(model, 10**7, 4)
+    assert small.estimator.getCacheNodeIds() and small.estimator.getMaxMemoryInMB() == M.SUMS_MB
+    assert not model.estimator.getCacheNodeIds() and large is model
+    limit = M.NODE_ID_BYTES * 4 // (4 * 200)
+    assert M.remembering(model, limit, 4) is not model and M.remembering(model, limit, 4, at_once=2) is model
+    assert M.remembering(M.spec("gbt"), 1000, 4).estimator.getCacheNodeIds() is False
+    assert [M._described(c) for c in small.param_maps()] == [M._described(c) for c in model.param_maps()]
+    # All rows and inputs at each node, so that no draw of inputs differs: the same trees with and without.
+    whole = M.spec("random_forest", grid={"numTrees": [3], "maxDepth": [4]})
+    whole.regressor.setFeatureSubsetStrategy("all")
+    kept = M.remembering(whole, 1000, 4)
+    a, b = (m.estimator.fit(vectors.train, m.param_maps()[0]) for m in (whole, kept))
+    assert b.getCacheNodeIds() and [t.toDebugString.split("\n", 1)[1] for t in a.trees] == [t.toDebugString.split("\n", 1)[1] for t in b.trees]
+
+
+def test_a_forest_on_all_rows_is_spread(vectors, monkeypatch):
+    seen = {}
+    for kind in (M.RandomForestRegressor, M.GBTRegressor):
+        fit = kind.fit
+        monkeypatch.setattr(kind, "fit", lambda self, df, params=None, fit=fit: seen.update({type(self).__name__: df.rdd.getNumPartitions()}) or fit(self, df, params))
+    monkeypatch.setattr(M, "SPREAD_ROWS", 50)
+    specs = [M.spec("random_forest", grid={"numTrees": [2], "maxDepth": [2]}), M.spec("gbt", grid={"maxIter": [1], "maxDepth": [1]}), M.spec("linear_regression")]
+    fitted = M.fit_first(vectors.train, specs)
+    assert list(fitted) == ["random_forest", "gbt", "linear_regression"] and fitted["random_forest"].getNumTrees == 2
+    assert seen == {"RandomForestRegressor": 4, "GBTRegressor": 1}
+    own = specs[1].estimator.fit(vectors.train, specs[1].param_maps()[0])
+    assert fitted["gbt"].toDebugString.split("\n", 1)[1] == own.toDebugString.split("\n", 1)[1]
+
+
+def test_heavy_jobs_take_more_slots(spark):
+    running, most = [], []
+    lock = threading.Lock()
+
+    def job(name):
+        with lock:
+            running.append(name)
+            most.append(sorted(running))
+        time.sleep(0.2)
+        with lock:
+            running.remove(name)
+
+    def run(slots):
+        most.clear()
+        jobs = [(name, lambda name=name: job(name)) for name in ("h1", "h2", "a", "b", "h3")]
+        M._side_by_side(spark, jobs, lambda name, result: [], slots, lambda name: 2 if name[0] == "h" else 1)
+        return max(sum(2 if n[0] == "h" else 1 for n in r) for r in most), {n for r in most for n in r}
+
+    every = {"h1", "h2", "a", "b", "h3"}
+    assert run(4) == (4, every) and run(3) == (3, every) and run(1) == (2, every)
