@@ -228,6 +228,9 @@ def test_a_forest_on_all_rows_is_spread(vectors, monkeypatch):
     assert seen == {"RandomForestRegressor": 4, "GBTRegressor": 1}
     own = specs[1].estimator.fit(vectors.train, specs[1].param_maps()[0])
     assert fitted["gbt"].toDebugString.split("\n", 1)[1] == own.toDebugString.split("\n", 1)[1]
+    seen.clear()
+    M.search(vectors.train, specs[:1], "id", folds=2)
+    assert seen == {"RandomForestRegressor": 4}
 
 
 def test_heavy_jobs_take_more_slots(spark):
